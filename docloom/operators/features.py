@@ -102,23 +102,26 @@ def counts_model(terms: Sequence[str], tokens: str, output: str) -> CountVectori
 
 # ---- statistics ---------------------------------------------------------------------------
 
-def densities(df: DataFrame, text: str = "text", id: str = "doc_id", category: str | None = None,
-              category_terms: dict[str, list[str]] = lexicon.CATEGORY_TERMS,
-              general: Sequence[str] = lexicon.GENERAL_TERMS) -> DataFrame:
-    """Words, and the shares of general terms, measurement-like words and category terms."""
+def density_columns(text: Column, category: str | None = None,
+                    category_terms: dict[str, list[str]] = lexicon.CATEGORY_TERMS,
+                    general: Sequence[str] = lexicon.GENERAL_TERMS) -> list[Column]:
     own = category_terms.get(category, []) if category else []
-    w = df.select(id, words(F.col(text)).alias("w"))
-    n = F.coalesce(F.size("w"), F.lit(0))
+    w = words(text)
+    n = F.coalesce(F.size(w), F.lit(0))
 
     def share(test: Callable[[Column], Column]) -> Column:
-        return ratio(F.size(F.filter("w", test)), n)
-
-    return w.select(
-        id, n.cast("long").alias("length"),
-        share(lambda x: F.lower(x).isin(list(general))).alias("medical_term_density"),
-        share(lambda x: x.rlike(r"\d")).alias("measurement_density"),
-        share(lambda x: F.lower(x).isin(own)).alias("disease_term_density") if own
-        else F.lit(0.0).alias("disease_term_density"))
+        return ratio(F.size(F.filter(w, test)), n)
+
+    return [n.cast("long").alias("length"),
+            share(lambda x: F.lower(x).isin(list(general))).alias("medical_term_density"),
+            share(lambda x: x.rlike(r"\d")).alias("measurement_density"),
+            (share(lambda x: F.lower(x).isin(own)) if own else F.lit(0.0)).alias("disease_term_density")]
+
+
+def densities(df: DataFrame, text: str = "text", id: str = "doc_id", category: str | None = None,
+              **tables) -> DataFrame:
+    """Words, and the shares of general terms, measurement-like words and category terms."""
+    return df.select(id, *density_columns(F.col(text), category, **tables))
 
 
 def basic_columns(text: Column) -> list[Column]:
