@@ -7,11 +7,11 @@ from dataclasses import dataclass
 from math import log
 from random import Random
 
-from pyspark.ml import Estimator, Model, PipelineModel
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression, NaiveBayes, OneVsRest,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import SQLTransformer, VectorAssembler, VectorSizeHint, VectorSlicer
+from pyspark.ml.feature import VectorAssembler, VectorSizeHint, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, functions as F
@@ -99,13 +99,10 @@ def naive_bayes(alpha: float = 1.0, **cols) -> NaiveBayes:
     return NaiveBayes(modelType="multinomial", smoothing=alpha, **cols)
 
 
-def shift_to_non_negative(df: DataFrame, features: str = "features") -> SQLTransformer | None:
-    """Stage that adds one constant to every feature, when the training rows have negative ones."""
+def lowest_value(df: DataFrame, features: str = "features") -> float:
+    """Smallest feature value of the training rows, at most 0: what naive Bayes has to be shifted by."""
     low = df.select(F.min(F.array_min(vector_to_array(features)))).first()[0]
-    if low is None or low >= 0:
-        return None
-    return SQLTransformer(statement=f"SELECT * EXCEPT ({features}), array_to_vector(transform("
-                                    f"vector_to_array({features}), x -> x - ({low!r}D))) AS {features} FROM __THIS__")
+    return min(0.0, low if low is not None else 0.0)
 
 
 def logistic_regression(rows: int, C: float = 1.0, max_iter: int = 1000, weight: str | None = "weight",
@@ -129,43 +126,45 @@ def bagging(trees: int = 100, max_samples: float = 1.0, max_depth: int = 30, see
                                   subsamplingRate=max_samples, seed=seed, **cols)
 
 
+@dataclass(frozen=True)
+class BaggedTrees:
+    """Trees on feature subsets; the probability is the mean over the trees."""
+
+    slicers: list[VectorSlicer]
+    trees: list[Model]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        columns, out, n = df.columns, df, len(self.trees)
+        for slicer, tree in zip(self.slicers, self.trees):
+            out = tree.transform(slicer.transform(out))
+        votes = [vector_to_array(t.getProbabilityCol()) for t in self.trees]
+        summed = out.select(*columns, F.array(*votes).alias("_votes"))
+        mean = F.transform(F.get("_votes", 0), lambda _, c: F.aggregate(
+            F.transform("_votes", lambda v: F.get(v, c)), F.lit(0.0), lambda a, x: a + x) / n)
+        probs = summed.select(*columns, mean.alias("_p"))
+        best = F.array_position("_p", F.array_max("_p")).cast("double") - 1
+        return probs.select(*columns, array_to_vector("_p").alias("probability"), best.alias("prediction"))
+
+
 def fit_feature_bagging(train: DataFrame, n_features: int, trees: int = 100, max_samples: float = 1.0,
                         max_features: float = 1.0, max_depth: int = 30, seed: int = 42, features: str = "features",
-                        label: str = "label") -> PipelineModel:
-    """Bagged trees on random feature subsets; the probability is the mean over the trees.
+                        label: str = "label") -> BaggedTrees:
+    """Bagged trees on random feature subsets.
 
     Each tree is one distributed fit on a bootstrap sample; the number of trees is a
     parameter and does not grow with the data.
     """
-    rng = Random(seed)
-    width = max(1, int(max_features * n_features))
-    stages: list = []
+    rng, width = Random(seed), max(1, int(max_features * n_features))
+    slicers, models = [], []
     for i in range(trees):
         subset = sorted(rng.sample(range(n_features), width))
         slicer = VectorSlicer(inputCol=features, outputCol=f"_f{i}", indices=subset)
         tree = DecisionTreeClassifier(featuresCol=f"_f{i}", labelCol=label, maxDepth=max_depth, seed=seed + i,
                                       predictionCol=f"_p{i}", probabilityCol=f"_q{i}", rawPredictionCol=f"_r{i}")
         sample = slicer.transform(train).sample(withReplacement=True, fraction=max_samples, seed=seed + i)
-        stages += [slicer, tree.fit(sample)]
-    arrays = ", ".join(f"vector_to_array(_q{i})" for i in range(trees))
-    scratch = ", ".join(f"_{c}{i}" for i in range(trees) for c in "fpqr")
-    mean = f"aggregate(slice(_all, 2, {trees}), _all[0], (a, q) -> zip_with(a, q, (x, y) -> x + y), a -> transform(a, x -> x / {trees}D))"
-    stages += [
-        SQLTransformer(statement=f"SELECT * EXCEPT ({scratch}), array({arrays}) AS _all FROM __THIS__"),
-        SQLTransformer(statement=f"SELECT * EXCEPT (_all), array_to_vector({mean}) AS probability FROM __THIS__"),
-        SQLTransformer(statement="SELECT *, CAST(array_position(vector_to_array(probability), "
-                                 "array_max(vector_to_array(probability))) - 1 AS DOUBLE) AS prediction FROM __THIS__"),
-    ]
-    register_vector_functions(train)
-    return PipelineModel(stages)
-
-
-def register_vector_functions(df: DataFrame) -> None:
-    """Make MLlib's vector/array conversions callable from SQL stages."""
-    jvm = df.sparkSession._jvm
-    registry = df.sparkSession._jsparkSession.udf()
-    registry.register("vector_to_array", getattr(jvm.org.apache.spark.ml, "functions").vectorToArrayUdf())
-    registry.register("array_to_vector", getattr(jvm.org.apache.spark.ml, "functions").arrayToVectorUdf())
+        slicers.append(slicer)
+        models.append(tree.fit(sample))
+    return BaggedTrees(slicers, models)
 
 
 # ---- calibrated linear SVM ------------------------------------------------------------------
