@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T, Window
 
 from docloom import lexicon
 from docloom.functions.scale import join_side, salted_join, top_rows
-from docloom.functions.text import WORD, count_of, sentences, words
+from docloom.functions.text import BLANKS, WORD, count_of, sentences, words
 
 
 def flag(condition: Column) -> Column:
@@ -269,7 +269,7 @@ def duplicate_rows(df: DataFrame, text: str = "text", id: str = "doc_id") -> Dat
 
 # ---- special characters -------------------------------------------------------------------
 
-SPECIAL = r"[^a-zA-Z0-9\s]"
+SPECIAL = rf"[^a-zA-Z0-9{BLANKS}]"
 
 
 def special_characters(df: DataFrame, text: str = "text", label: str = "label") -> DataFrame:

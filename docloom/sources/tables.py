@@ -37,6 +37,15 @@ def read_parquet(spark: SparkSession, path: str, required: Sequence[str] = ()) -
     return require_columns(spark.read.parquet(path), required)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a table that comes in fewer pieces than there are cores.
+
+    Text work is heavy per row; a table of many files is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, escape='"', quote='"', quoteAll=True)
 

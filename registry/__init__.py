@@ -4,7 +4,7 @@ from importlib import import_module
 
 from registry.common import ORACLES, QUERIES
 
-for _name in ("profile", "vocabulary"):
+for _name in ("profile", "vocabulary", "cleaning"):
     import_module(f"registry.{_name}")
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from docloom import lexicon
 from docloom.session import shared_folder
+from docloom.sources.tables import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,7 +28,7 @@ def load(spark: SparkSession, sf: str, table: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:
-    return load(spark, sf, "documents")
+    return spread(load(spark, sf, "documents"))
 
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:

@@ -93,13 +93,16 @@ def _(spark, sf):
     return v.clean_for_ngrams(docs(spark, sf), label="lang")
 
 
-def ngram_cte(table: str, label: str, text: str = "text") -> str:
-    toks = NGRAM_TEXT.replace("text", text)
-    grams = (f"SELECT {label}, unnest(CASE n WHEN 1 THEN list_filter(t, lambda w: w NOT IN ({STOP})) "
-             "ELSE list_transform(range(1, len(t) - n + 2), lambda i: array_to_string(t[i:i + n - 1], ' ')) END) AS gram, n")
+def ngram_cte(table: str, label: str) -> str:
+    nxt = "lead(w, {}) OVER (PARTITION BY rid ORDER BY pos)"
     return f"""
-tk AS (SELECT {label}, list_filter(string_split({toks}, ' '), lambda w: w <> '') AS t FROM {table}),
-g AS ({grams} FROM tk, (VALUES (1), (2), (3)) AS sizes(n)),
+tk AS (SELECT row_number() OVER () AS rid, {label}, list_filter(string_split({NGRAM_TEXT}, ' '), lambda w: w <> '') AS t
+  FROM {table}),
+wp AS (SELECT rid, {label}, unnest(t) AS w, generate_subscripts(t, 1) AS pos FROM tk),
+ww AS (SELECT {label}, w, {nxt.format(1)} AS w2, {nxt.format(2)} AS w3 FROM wp),
+g AS (SELECT {label}, 1 AS n, w AS gram FROM ww WHERE w NOT IN ({STOP})
+  UNION ALL SELECT {label}, 2, w || ' ' || w2 FROM ww WHERE w2 IS NOT NULL
+  UNION ALL SELECT {label}, 3, w || ' ' || w2 || ' ' || w3 FROM ww WHERE w3 IS NOT NULL),
 c AS (SELECT {label}, CAST(n AS BIGINT) AS n, gram, count(*) AS count FROM g GROUP BY {label}, n, gram)"""
 
 
