@@ -22,11 +22,11 @@ def protected_pattern(spans: dict[str, list[str]] = lexicon.PROTECTED_SPANS) ->
 
 def cut_length(text: Column, max_length: int = 9000) -> Column:
     """Cut a longer text, then go back to its last full stop unless that is the first character."""
-    head = F.substring(text, 1, max_length)
-    stop = F.length(head) - F.instr(F.reverse(head), ".") + 1
-    at_stop = (F.instr(head, ".") > 0) & (stop > 1)
-    cut = F.when(at_stop, F.substring(head, F.lit(1), stop)).otherwise(head)
-    return F.when(F.length(text) > max_length, cut).otherwise(text)
+    def cut(head: Column) -> Column:
+        stop = F.length(head) - F.instr(F.reverse(head), ".") + 1
+        at_stop = (F.instr(head, ".") > 0) & (stop > 1)
+        return F.when(at_stop, F.substring(head, F.lit(1), stop)).otherwise(head)
+    return let(text, lambda t: F.when(F.length(t) > max_length, let(F.substring(t, 1, max_length), cut)).otherwise(t))
 
 
 def space_characters(text: Column, chars: Sequence[str] = lexicon.SPACED_CHARS) -> Column:
@@ -61,9 +61,9 @@ def open_measurements(text: Column) -> Column:
 
 def score_list(text: Column, rules: dict[str, dict[str, str]] = lexicon.SCORE_RULES) -> Column:
     """All score mentions as ``category_kind: match``."""
-    found = [F.transform(matches(text, f"(?i){p}"), lambda m, c=c, k=k: F.concat(F.lit(f"{c}_{k}: "), m))
-             for c, kinds in rules.items() for k, p in kinds.items()]
-    return F.concat(*found)
+    def named(name: str, pattern: str) -> Column:
+        return F.transform(matches(text, f"(?i){pattern}"), lambda m: F.concat(F.lit(f"{name}: "), m))
+    return F.concat(*[named(f"{c}_{k}", p) for c, kinds in rules.items() for k, p in kinds.items()])
 
 
 def squeeze_scores(text: Column, rules: dict[str, dict[str, str]] = lexicon.SCORE_RULES) -> Column:
@@ -161,10 +161,13 @@ def lower_terms(text: Column, terms: Sequence[str]) -> Column:
 
 def unify_case(text: Column, table: dict[str, str] = lexicon.CASE_ABBREVIATIONS) -> Column:
     """Where an abbreviation occurs in capitals, raise its lower-case form too, whole words only."""
-    for abbr in table:
-        raised = F.regexp_replace(text, rf"(?U)\b{quote(abbr.lower())}\b", abbr)
-        text = F.when(F.contains(text, F.lit(abbr)), raised).otherwise(text)
-    return text
+    lower = {abbr.lower(): abbr for abbr in table}
+    pattern = "(?U)" + any_of(lower, r"\b(?:{})\b")
+
+    def raise_known(t: Column) -> Column:
+        return rewrite(t, pattern, span=lambda s: let(
+            look_up(lower, s), lambda abbr: F.when(F.contains(t, abbr), abbr).otherwise(s)))
+    return let(text, raise_known)
 
 
 def abbreviations_present(text: Column, table: dict[str, str] = lexicon.CASE_ABBREVIATIONS) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from docloom import lexicon
 
@@ -56,9 +56,11 @@ def rewrite(text: Column, pattern: str,
 
     The text is cut at the matches, so a replacement is never looked at again.
     """
-    gaps, spans = F.split(text, pattern, -1), matches(text, pattern)
-    joined = F.zip_with(gaps, spans, lambda g, s: F.concat(gap(g), F.coalesce(span(s), F.lit(""))))
-    return F.array_join(joined, "")
+    def pieces(t: Column) -> Column:
+        joined = F.zip_with(F.split(t, pattern, -1), matches(t, pattern),
+                            lambda g, s: F.concat(gap(g), F.coalesce(span(s), F.lit(""))))
+        return F.array_join(joined, "")
+    return let(text, pieces)
 
 
 def look_up(table: dict[str, str], key: Column) -> Column:
@@ -121,3 +123,13 @@ def period_parts(text: Column) -> Column:
 def ratio(num: Column, den: Column) -> Column:
     """Quotient as double, 0 when the denominator is 0 or NULL."""
     return F.coalesce(num.cast("double") / F.nullif(den.cast("double"), F.lit(0.0)), F.lit(0.0))
+
+
+def unnest(df: DataFrame, keep: Sequence[str], items: Column, *names: str) -> DataFrame:
+    """One row per array element (or struct element, as columns ``names``), rows without elements dropped.
+
+    The outer form keeps Spark from testing the array for emptiness below the
+    generator, which would compute the whole expression a second time.
+    """
+    made = F.inline_outer(items) if len(names) > 1 else F.explode_outer(items)
+    return df.select(*keep, made.alias(*names)).where(F.col(names[0]).isNotNull())

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from docloom import lexicon
 from docloom.functions.scale import fetch_side, join_side, salted_join
-from docloom.functions.text import count_of, let, ngrams, period_parts, ratio, run_lengths, word_tokens, words
+from docloom.functions.text import count_of, let, ngrams, period_parts, ratio, run_lengths, unnest, word_tokens, words
 
 VOCABULARY_ROWS = 262_144
 
@@ -21,8 +21,7 @@ VOCABULARY_ROWS = 262_144
 
 def term_counts(df: DataFrame, tokens: Column, id: str = "doc_id", carry: Sequence[str] = ()) -> DataFrame:
     """``(id, carry…, term, tf)``: counted inside each row, so no shuffle is needed."""
-    counted = df.select(id, *carry, run_lengths(tokens).alias("terms"))
-    return counted.select(id, *carry, F.inline("terms"))
+    return unnest(df, [id, *carry], run_lengths(tokens), "term", "tf")
 
 
 def term_vocabulary(pairs: DataFrame, docs: Column, min_df: int = 2, max_df: float = 0.95,
@@ -283,11 +282,15 @@ def similar_items(vectors: DataFrame, key: object, n: int = 10, id: str = "word"
 def subword_vectors(df: DataFrame, tokens: Column, id: str = "doc_id", low: int = 3, high: int = 6,
                     buckets: int = 4096, output: str = "subwords") -> DataFrame:
     """Hashed counts of the character n-grams of bracketed words, which also cover unseen words."""
+    def of_size(w: Column, n: int) -> Column:
+        starts = F.when(F.length(w) >= n, F.sequence(F.lit(1), F.length(w) - (n - 1)))
+        cut = F.transform(starts, lambda i: F.substring(w, i, F.lit(n)))
+        return F.coalesce(cut, F.array().cast("array<string>"))
+
     def grams(word: Column) -> Column:
-        w = F.concat(F.lit("<"), word, F.lit(">"))
-        sized = [F.transform(F.when(F.length(w) >= n, F.sequence(F.lit(1), F.length(w) - (n - 1))),
-                             lambda i, n=n: F.substring(w, i, F.lit(n))) for n in range(low, high + 1)]
-        return F.concat(*[F.coalesce(s, F.array().cast("array<string>")) for s in sized])
+        bracketed = F.concat(F.lit("<"), word, F.lit(">"))
+        return let(bracketed, lambda w: F.concat(*[of_size(w, n) for n in range(low, high + 1)]))
+
     pieces = df.select(id, F.flatten(F.transform(tokens, grams)).alias("_grams"))
     return HashingTF(numFeatures=buckets, inputCol="_grams", outputCol=output).transform(pieces).select(id, output)
 

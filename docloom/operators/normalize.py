@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docloom import lexicon
 from docloom.functions import cleaning as c
-from docloom.functions.text import matches, squeeze, words
+from docloom.functions.text import matches, squeeze, unnest, words
 
 
 def normalize_whitespace(df: DataFrame, text: str = "text") -> DataFrame:
@@ -70,7 +70,7 @@ def standardize_terms(df: DataFrame, text: str = "text",
 
 def replacement_audit(df: DataFrame, text: str = "text", id: str = "doc_id", **options) -> DataFrame:
     """One row per replacement: ``(id, term, replacement)``."""
-    made = standardize_terms(df, text, **options).select(id, F.explode("replacements").alias("r"))
+    made = unnest(standardize_terms(df, text, **options), [id], F.col("replacements"), "r")
     parts = F.split("r", " → ")
     return made.select(id, F.get(parts, 0).alias("term"), F.get(parts, 1).alias("replacement"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T, Window
 
 from docloom import lexicon
 from docloom.functions.scale import join_side, salted_join, top_rows
-from docloom.functions.text import BLANKS, WORD, count_of, sentences, words
+from docloom.functions.text import BLANKS, WORD, count_of, sentences, unnest, words
 
 
 def flag(condition: Column) -> Column:
@@ -274,8 +274,8 @@ SPECIAL = rf"[^a-zA-Z0-9{BLANKS}]"
 
 def special_characters(df: DataFrame, text: str = "text", label: str = "label") -> DataFrame:
     """Occurrences per label and special character."""
-    chars = F.explode(F.regexp_extract_all(text, F.lit(SPECIAL), F.lit(0)))
-    return df.select(label, chars.alias("ch")).groupBy(label, "ch").agg(F.count("*").alias("n"))
+    chars = unnest(df, [label], F.regexp_extract_all(text, F.lit(SPECIAL), F.lit(0)), "ch")
+    return chars.groupBy(label, "ch").agg(F.count("*").alias("n"))
 
 
 def special_character_totals(df: DataFrame, text: str = "text", label: str = "label") -> DataFrame:

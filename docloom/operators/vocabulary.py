@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from docloom import lexicon
 from docloom.functions.scale import running_totals, top_rows
-from docloom.functions.text import ngram_text, ngrams, plain_word_tokens, vocabulary_tokens
+from docloom.functions.text import ngram_text, ngrams, plain_word_tokens, unnest, vocabulary_tokens
 from docloom.operators.features import tfidf
 
 
@@ -24,8 +24,8 @@ def vocabulary(df: DataFrame, text: str = "text", id: str = "doc_id", label: str
 def label_words(df: DataFrame, text: str = "text", label: str = "label",
                 stopwords: Sequence[str] = lexicon.STOPWORDS) -> DataFrame:
     """Occurrences per label and word."""
-    tokens = F.explode(vocabulary_tokens(F.col(text), stopwords))
-    return df.select(label, tokens.alias("word")).groupBy(label, "word").agg(F.count("*").alias("n"))
+    tokens = unnest(df, [label], vocabulary_tokens(F.col(text), stopwords), "word")
+    return tokens.groupBy(label, "word").agg(F.count("*").alias("n"))
 
 
 def label_vocabulary(df: DataFrame, text: str = "text", label: str = "label") -> DataFrame:
@@ -44,7 +44,7 @@ def top_words(df: DataFrame, text: str = "text", label: str = "label", k: int =
 
 
 def word_frequency(df: DataFrame, text: str = "text") -> DataFrame:
-    words = df.select(F.explode(vocabulary_tokens(F.col(text))).alias("word"))
+    words = unnest(df, [], vocabulary_tokens(F.col(text)), "word")
     return words.groupBy("word").agg(F.count("*").alias("frequency"))
 
 
@@ -119,7 +119,7 @@ def ngram_counts(df: DataFrame, text: str = "text", label: str = "label", max_n:
         return ngrams(F.col("t"), n)
 
     sized = F.array(*[F.struct(F.lit(n).alias("n"), of_size(n).alias("grams")) for n in range(1, max_n + 1)])
-    grams = tokens.select(label, F.inline(sized)).select(label, "n", F.explode("grams").alias("gram"))
+    grams = unnest(unnest(tokens, [label], sized, "n", "grams"), [label, "n"], F.col("grams"), "gram")
     return grams.groupBy(label, "n", "gram").agg(F.count("*").alias("count"))
 
 
