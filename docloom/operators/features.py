@@ -274,7 +274,8 @@ def cosine(a: Column, b: Column) -> Column:
 
 def similar_items(vectors: DataFrame, key: object, n: int = 10, id: str = "word", vector: str = "vector") -> DataFrame:
     """The n items nearest to ``key`` by cosine; no rows when the key is unknown."""
-    probe = vectors.where(F.col(id) == key).select(vector).limit(1).scalar()
+    found = vectors.where(F.col(id) == key).select(vector).first()
+    probe = F.array(*[F.lit(float(x)) for x in found[0]]) if found else F.lit(None).cast("array<double>")
     scored = vectors.where(F.col(id) != key).select(id, cosine(F.col(vector), probe).alias("similarity"))
     return scored.where("similarity IS NOT NULL").orderBy(F.desc("similarity"), F.asc(id)).limit(n)
 
