@@ -17,7 +17,8 @@ def protected_pattern(spans: dict[str, list[str]] = lexicon.PROTECTED_SPANS) ->
     """One alternation for all protected spans; where two start together the longer comes first."""
     families = ["compound_terms", "ranges", "measurements", "statistical_values"]
     ordered = [p for f in families for p in reversed(spans[f])]
-    return "(?U)" + "|".join(f"(?:{p})" for p in ordered)
+    # Possessive words: a word never gives back letters, which only saves retries.
+    return "(?U)" + "|".join(f"(?:{p})" for p in ordered).replace(r"\w+", r"\w++")
 
 
 def cut_length(text: Column, max_length: int = 9000) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 from docloom.session import ensure_checkpoints
 
 SIDE_ROWS = 20_000
-SALTS = 32
+MAX_SALTS = 32
 HASH_DIGITS = 3
 
 
@@ -43,15 +43,21 @@ def join_side(big: DataFrame, side: DataFrame, on: str | Sequence[str], how: str
 
 
 def salted_join(big: DataFrame, side: DataFrame, on: str | Sequence[str], how: str = "inner",
-                salts: int = SALTS) -> DataFrame:
+                salts: int | None = None) -> DataFrame:
     """Equi join whose hot keys on ``big`` are spread over ``salts`` tasks.
 
+    The default grows with the number of shuffle partitions, since a key cannot
+    be spread wider than those; adaptive skew handling may split further.
+
     ``side`` has one row per key and is repeated once per salt, ``big`` rows
     draw their salt from a hash of the whole row, so a recomputed task draws the same.
     """
     if how not in ("inner", "left"):
         raise ValueError("the repeated side can only be the optional one")
     keys = [on] if isinstance(on, str) else list(on)
+    if salts is None:
+        partitions = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salts = min(MAX_SALTS, max(2, partitions // 16))
     salt = F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")
     spread = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return big.withColumn("_salt", salt).join(spread, keys + ["_salt"], how).drop("_salt")

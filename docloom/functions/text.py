@@ -59,7 +59,8 @@ def rewrite(text: Column, pattern: str,
     def pieces(t: Column) -> Column:
         joined = F.zip_with(F.split(t, pattern, -1), matches(t, pattern),
                             lambda g, s: F.concat(gap(g), F.coalesce(span(s), F.lit(""))))
-        return F.array_join(joined, "")
+        # A text without a match is one gap; finding that out takes a single scan.
+        return F.when(t.rlike(pattern), F.array_join(joined, "")).otherwise(gap(t))
     return let(text, pieces)
 
 

@@ -247,16 +247,18 @@ def label_accuracy(preds: DataFrame, label: str = "label", prediction: str = "pr
 
 
 def evaluation_bundle(preds: DataFrame, classes: Sequence, **columns) -> DataFrame:
-    """All of the above for one model as ``(section, name, value)``; the predictions are read from one cache."""
-    cached = preds.persist()
-    overall = long_metrics(weighted_metrics(cached, **columns), []).select(
+    """All of the above for one model as ``(section, name, value)``.
+
+    Several passes read ``preds``: hand in a persisted or written table.
+    """
+    overall = long_metrics(weighted_metrics(preds, **columns), []).select(
         F.lit("overall").alias("section"), F.col("metric").alias("name"), "value")
-    per_class = long_metrics(class_metrics(cached, **columns), ["class"], ("precision", "recall", "f1", "specificity"))
+    per_class = long_metrics(class_metrics(preds, **columns), ["class"], ("precision", "recall", "f1", "specificity"))
     per_class = per_class.select(F.lit("class").alias("section"),
                                  F.concat_ws(":", F.col("class").cast("string"), "metric").alias("name"), "value")
-    errors = error_patterns(cached, **columns).select(
+    errors = error_patterns(preds, **columns).select(
         F.lit("errors").alias("section"), F.col("pattern").alias("name"), F.col("n").cast("double").alias("value"))
-    long = class_scores(cached, classes)
+    long = class_scores(preds, classes)
     auc = roc_auc(roc_points(long)).select(
         F.lit("auc").alias("section"), F.col("class").cast("string").alias("name"), F.col("auc").alias("value"))
     micro = roc_auc(roc_points(long, keys=()), keys=()).select(

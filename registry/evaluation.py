@@ -235,7 +235,7 @@ def _(spark, sf):
 
 @query("e18_evaluation_bundle")
 def _(spark, sf):
-    return tidy(e.evaluation_bundle(preds(spark, sf), CLASSES))
+    return tidy(e.evaluation_bundle(preds(spark, sf).persist(), CLASSES))
 
 
 INITIAL = ALL.replace("pr AS (", "pr0 AS (", 1) + ", pr AS (SELECT * FROM pr0 WHERE stage = 'initial')"

@@ -67,7 +67,7 @@ def _(spark, sf):
 
 @query("io05_cached_batches")
 def _(spark, sf):
-    folder = workspace(spark, f"io05/{abs(hash(sf))}")
+    folder = workspace(spark, f"io05/{sf.rstrip("/").rsplit("/", 1)[-1]}")
     build = lambda: s.batches(docs(spark, sf).select("doc_id", "lang"), 32)
     tables.cached_batches(spark, folder, "all", 32, build)
     return tidy(tables.cached_batches(spark, folder, "all", 32, build))

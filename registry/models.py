@@ -144,7 +144,7 @@ def _(spark, sf):
 @query("m13_stream_scoring")
 def _(spark, sf):
     model, labels = text_model(spark, sf)
-    folder = workspace(spark, f"m13/{abs(hash(sf))}")
+    folder = workspace(spark, f"m13/{sf.rstrip("/").rsplit("/", 1)[-1]}")
     d = docs(spark, sf).select("doc_id", "text")
     d.write.mode("overwrite").parquet(f"{folder}/in")
     stream = spark.readStream.schema("doc_id long, text string").parquet(f"{folder}/in")
