@@ -249,44 +249,44 @@ def soft_vote(scores: DataFrame, weights: dict[str, float], classes: Sequence, i
         F.array_max("probability").alias("confidence"))
 
 
+def add_probabilities(bases: dict[str, object], df: DataFrame) -> DataFrame:
+    """The probability vector of each base model as a column ``_name``, one narrow pass after the other."""
+    out = df
+    for name, base in bases.items():
+        out = base.transform(out).select(*out.columns, F.col("probability").alias(f"_{name}"))
+    return out
+
+
 @dataclass(frozen=True)
 class Stack:
+    """Base models, and a final model on their probabilities next to the original features."""
+
     bases: dict[str, object]
     final: Model
     features: str = "features"
-    id: str = "doc_id"
 
     def transform(self, df: DataFrame) -> DataFrame:
-        joined = df
-        for name, base in self.bases.items():
-            probs = base.transform(df).select(self.id, F.col("probability").alias(f"_{name}"))
-            joined = joined.join(probs, self.id)
-        inputs = [self.features, *[f"_{n}" for n in self.bases]]
-        stacked = VectorAssembler(inputCols=inputs, outputCol="_stacked").transform(joined)
-        return self.final.transform(stacked).drop("_stacked", *[f"_{n}" for n in self.bases])
+        columns = [f"_{n}" for n in self.bases]
+        stacked = VectorAssembler(inputCols=[self.features, *columns], outputCol="_stacked")
+        return self.final.transform(stacked.transform(add_probabilities(self.bases, df))).drop("_stacked", *columns)
 
 
 def fit_stack(train: DataFrame, fits: dict[str, Callable[[DataFrame], object]],
-              final: Callable[[DataFrame, str], Model], fold: str = "fold", k: int = 3, features: str = "features",
-              id: str = "doc_id") -> Stack:
+              final: Callable[[DataFrame, str], Model], fold: str = "fold", k: int = 3,
+              features: str = "features") -> Stack:
     """Stacking with out-of-fold base probabilities next to the original features.
 
-    ``train`` carries a fold column; each base model scores the fold it has not seen,
-    and the parts meet by id.
+    ``train`` carries a fold column. The base models of a round score the fold they
+    have not seen; the folds are put one after the other, so nothing has to be joined.
     """
-    joined = train
-    for name, fit in fits.items():
-        parts = []
-        for i in range(k):
-            model = fit(train.where(F.col(fold) != i))
-            parts.append(model.transform(train.where(F.col(fold) == i)).select(id, F.col("probability").alias(f"_{name}")))
-        unseen = parts[0]
-        for p in parts[1:]:
-            unseen = unseen.unionByName(p)
-        joined = joined.join(unseen, id)
-    stacked = VectorAssembler(inputCols=[features, *[f"_{n}" for n in fits]], outputCol="_stacked").transform(joined)
+    unseen = None
+    for i in range(k):
+        seen = train.where(F.col(fold) != i)
+        part = add_probabilities({n: fit(seen) for n, fit in fits.items()}, train.where(F.col(fold) == i))
+        unseen = part if unseen is None else unseen.unionByName(part)
+    stacked = VectorAssembler(inputCols=[features, *[f"_{n}" for n in fits]], outputCol="_stacked").transform(unseen)
     last = final(stacked, "_stacked")
-    return Stack({n: fit(train) for n, fit in fits.items()}, last, features, id)
+    return Stack({n: fit(train) for n, fit in fits.items()}, last, features)
 
 
 def fit_until_no_gain(settings: Sequence, fit: Callable[[object], object], val: DataFrame, patience: int = 3,

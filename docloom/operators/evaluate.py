@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from docloom import lexicon
@@ -238,6 +239,16 @@ def feature_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                                          for i, (a, b) in enumerate(pairs)])))
 
 
+def vector_correlations(df: DataFrame, names: Sequence[str], features: str = "features") -> DataFrame:
+    """Pearson correlation of every pair of vector positions, for wide feature vectors.
+
+    The matrix is computed over the rows by MLlib; only its width squared cells come back.
+    """
+    matrix = Correlation.corr(df, features).first()[0].toArray()
+    rows = [(a, b, float(matrix[i, j])) for i, a in enumerate(names) for j, b in enumerate(names) if i <= j]
+    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, correlation double")
+
+
 def label_accuracy(preds: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Scored cases, right ones and accuracy per label, plus the row ``*`` for all."""
     per_label = preds.groupBy(F.col(label).cast("string").alias("label")).agg(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docloom.functions.scale import hash_rank, join_side, running_totals
+from docloom.functions.scale import hash_order, hash_rank, join_side, running_totals
 
 
 def stratified_split(df: DataFrame, id: str = "doc_id", label: str = "label", test: float = 0.15, val: float = 0.15,
@@ -22,6 +22,29 @@ def stratified_split(df: DataFrame, id: str = "doc_id", label: str = "label", te
                          .otherwise("train").alias("split"))
 
 
+def split_bounds(df: DataFrame, id: str = "doc_id", label: str = "label", test: float = 0.15, val: float = 0.15,
+                 seed: int = 42) -> DataFrame:
+    """Per label the last digest of the test and of the validation part: the split in one row per class."""
+    parts = stratified_split(df, id, label, test, val, seed).withColumn("digest", hash_order(F.col(id), seed))
+    last = parts.groupBy(label).agg(F.max(F.when(F.col("split") == "test", F.col("digest"))).alias("t"),
+                                    F.max(F.when(F.col("split") == "val", F.col("digest"))).alias("v"))
+    test_end = F.coalesce("t", F.lit(""))
+    return last.select(label, test_end.alias("test_end"), F.coalesce("v", test_end).alias("val_end"))
+
+
+def add_split(df: DataFrame, id: str = "doc_id", label: str = "label", test: float = 0.15, val: float = 0.15,
+              seed: int = 42) -> DataFrame:
+    """The stratified split as a column on wide rows, which are not shuffled for it.
+
+    Only ids and labels are ranked; each row then compares its own digest with the
+    bounds of its class.
+    """
+    bounds = split_bounds(df.select(id, label), id, label, test, val, seed)
+    digest = hash_order(F.col(id), seed)
+    split = F.when(digest <= F.col("test_end"), "test").when(digest <= F.col("val_end"), "val").otherwise("train")
+    return join_side(df, bounds, label, "left").select(*df.columns, split.alias("split"))
+
+
 def stratified_folds(df: DataFrame, id: str = "doc_id", label: str = "label", k: int = 5, seed: int = 42) -> DataFrame:
     """Fold 0..k-1 per document, classes spread evenly."""
     ranked = hash_rank(df.select(id, label), [label], id, seed)

@@ -17,6 +17,7 @@ class Run:
     fold_metrics: DataFrame
     summary: DataFrame
     importances: list[tuple[str, float]]
+    correlations: DataFrame | None = None
 
 
 def score_folds(folded: DataFrame, fit: Callable[[DataFrame], object], k: int, label: str = "label",
@@ -40,7 +41,7 @@ def fold_metrics(predictions: DataFrame) -> DataFrame:
 def run_experiment(df: DataFrame, fit: Callable[[DataFrame], object], experiment: str, folder: str | None = None,
                    k: int = 5, stratified: bool = False, label: str = "label", id: str = "doc_id",
                    feature_names: Sequence[str] = (), seed: int = 42) -> Run:
-    """Folds, metrics per fold, summary, final fit on all rows and importances.
+    """Folds, metrics per fold, summary, final fit on all rows, importances and feature correlations.
 
     ``df(id, label, features)`` is read once per fit, so it is kept in memory and on disk
     for the run. With ``folder`` the metrics go to its metrics table.
@@ -50,6 +51,7 @@ def run_experiment(df: DataFrame, fit: Callable[[DataFrame], object], experiment
     try:
         scores = fold_metrics(score_folds(folded, fit, k, label, id=id)).collect()
         model = fit(folded)
+        correlations = evaluate.vector_correlations(folded, feature_names) if feature_names else None
     finally:
         folded.unpersist()
     per_fold = df.sparkSession.createDataFrame(scores)
@@ -62,4 +64,4 @@ def run_experiment(df: DataFrame, fit: Callable[[DataFrame], object], experiment
             metrics.log_metrics(metrics.long_to_metrics(part, experiment, role, "fold", evaluate.METRICS), folder)
         if importances:
             metrics.log_metrics(metrics.metric_rows(df.sparkSession, experiment, "importance", 0, dict(importances)), folder)
-    return Run(model, per_fold, summary, importances)
+    return Run(model, per_fold, summary, importances, correlations)

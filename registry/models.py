@@ -9,7 +9,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from docloom.functions.text import word_tokens
-from docloom.operators import classify as c, features as f, splits as s
+from docloom.operators import classify as c, evaluate as e, features as f, splits as s
 from docloom.plans import experiment, prepare
 from docloom.plans.stages import ShiftFeatures
 from docloom.streaming import scoring
@@ -211,3 +211,12 @@ def _(spark, sf):
     return tidy(run.fold_metrics, 4)
 
 
+
+
+@query("e25_vector_correlations", """
+WITH x AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings)
+SELECT 'dim_' || a.i AS feature_a, 'dim_' || b.i AS feature_b, round(corr(a.v, b.v), 5) + 0.0 AS correlation
+FROM x a JOIN x b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY a.i, b.i""")
+def _(spark, sf):
+    d = vectors(spark, sf)
+    return tidy(e.vector_correlations(d, [f"dim_{i}" for i in range(64)]), 5)

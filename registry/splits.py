@@ -28,6 +28,11 @@ def _(spark, sf):
     return s.stratified_split(base(spark, sf), label="lang")
 
 
+@query("d01_split_column", f"SELECT s.doc_id, s.lang, text, split FROM {SPLIT} s JOIN documents USING (doc_id)")
+def _(spark, sf):
+    return s.add_split(docs(spark, sf).select("doc_id", "lang", "text"), label="lang")
+
+
 @query("d02_label_encoding", """
 WITH i AS (SELECT lang, CAST(row_number() OVER (ORDER BY lang) - 1 AS DOUBLE) AS label_index FROM (SELECT DISTINCT lang FROM documents))
 SELECT doc_id, lang, label_index, lang AS predicted_label FROM documents JOIN i USING (lang)""")
