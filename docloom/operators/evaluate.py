@@ -17,6 +17,9 @@ from docloom.functions.scale import running_totals
 from docloom.functions.text import ratio
 
 
+METRICS = ("accuracy", "precision", "recall", "f1")
+
+
 def confusion_cells(preds: DataFrame, keys: Sequence[str] = (), label: str = "label",
                     prediction: str = "prediction") -> DataFrame:
     return preds.groupBy(*keys, F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
@@ -67,29 +70,30 @@ def class_metrics(preds: DataFrame, keys: Sequence[str] = (), **columns) -> Data
         (tp + fn).alias("support"))
 
 
-def _averages(weight: Column) -> list[Column]:
-    return [ratio(F.sum(F.col(m) * weight), F.sum(weight)).alias(m) for m in ("precision", "recall", "f1")]
+def _average(metric: str, weight: Column) -> Column:
+    return ratio(F.sum(F.col(metric) * weight), F.sum(weight))
 
 
 def weighted_metrics(preds: DataFrame, keys: Sequence[str] = (), **columns) -> DataFrame:
     """Accuracy and support-weighted precision, recall and F1. (Weighted recall is the accuracy.)"""
     per_class = class_metrics(preds, keys, **columns)
     hits = F.sum(F.col("recall") * F.col("support")) / F.sum("support")
-    return per_class.groupBy(*keys).agg(hits.alias("accuracy"), *_averages(F.col("support").cast("double")))
+    return per_class.groupBy(*keys).agg(
+        hits.alias("accuracy"), *[_average(m, F.col("support").cast("double")).alias(m) for m in METRICS[1:]])
 
 
 def classification_report(preds: DataFrame, keys: Sequence[str] = (), **columns) -> DataFrame:
-    """Per-class rows plus ``macro avg`` and ``weighted avg``."""
-    per_class = class_metrics(preds, keys, **columns).drop("specificity")
-    names = [*keys, "class", "precision", "recall", "f1", "support"]
+    """Per-class rows plus ``macro avg`` and ``weighted avg``, from one pass over the predictions."""
+    per_class = class_metrics(preds, keys, **columns)
 
-    def average(name: str, weight: Column) -> DataFrame:
-        return per_class.groupBy(*keys).agg(*_averages(weight), F.sum("support").alias("support")).withColumn(
-            "class", F.lit(name)).select(*names)
+    def average(name: str, weight: Column) -> Column:
+        return F.struct(F.lit(name).alias("class"), *[_average(m, weight).alias(m) for m in METRICS[1:]],
+                        F.sum("support").alias("support"))
 
-    rows = per_class.withColumn("class", F.col("class").cast("string")).select(*names)
-    return rows.unionByName(average("macro avg", F.lit(1.0))).unionByName(
-        average("weighted avg", F.col("support").cast("double")))
+    row = F.struct(F.col("class").cast("string").alias("class"), *METRICS[1:], "support")
+    averages = F.array(average("macro avg", F.lit(1.0)), average("weighted avg", F.col("support").cast("double")))
+    return per_class.groupBy(*keys).agg(F.concat(F.collect_list(row), averages).alias("rows")).select(
+        *keys, F.inline("rows"))
 
 
 def confused_pairs(preds: DataFrame, keys: Sequence[str] = (), k: int = 3, **columns) -> DataFrame:
@@ -167,9 +171,6 @@ def roc_auc(points: DataFrame, keys: Sequence[str] = ("class",)) -> DataFrame:
 
 # ---- folds and models ---------------------------------------------------------------------
 
-METRICS = ("accuracy", "precision", "recall", "f1")
-
-
 def long_metrics(wide: DataFrame, keys: Sequence[str], metrics: Sequence[str] = METRICS) -> DataFrame:
     rows = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics])
     return wide.select(*keys, F.inline(rows))

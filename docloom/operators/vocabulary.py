@@ -127,12 +127,13 @@ def top_ngrams(counts: DataFrame, label: str = "label", k: int = 10) -> DataFram
     return top_rows(counts, [label, "n"], [F.desc("count"), F.asc("gram")], k)
 
 
-def distinctive_ngrams(counts: DataFrame, label: str = "label") -> DataFrame:
+def distinctive_ngrams(counts: DataFrame, docs: DataFrame, label: str = "label") -> DataFrame:
     """Score count * ln(classes / classes containing the gram).
 
-    The classes of a gram are at most as many rows as there are classes, so the
-    window over (n, gram) never holds a large group.
+    ``docs`` gives the number of classes, so the n-grams are not counted twice. The
+    classes of a gram are at most as many rows as there are classes, so the window
+    over (n, gram) never holds a large group.
     """
-    classes = counts.select(F.count_distinct(label)).scalar()
+    classes = docs.select(F.count_distinct(label)).scalar()
     containing = F.count("*").over(Window.partitionBy("n", "gram"))
     return counts.withColumn("score", F.col("count") * F.log(classes.cast("double") / containing))
