@@ -51,20 +51,20 @@ def naive_bayes_fit(pairs: DataFrame, docs: DataFrame, alpha: float = 1.0, fit_p
                     label: str = "label") -> NaiveBayesTable:
     """Fit on ``pairs(id, label, term, tf)`` of the documents ``docs(id, label)``.
 
-    One aggregate over (term, label); only the per-class totals reach the driver.
+    One aggregate per term with a count per class; only class totals reach the driver.
     """
-    counts = pairs.groupBy("term", label).agg(F.sum("tf").alias("n"))
     sizes = fetch_side(docs.groupBy(label).agg(F.count("*").alias("docs")).orderBy(label), MAX_CLASSES)
     if sizes is None:
         raise ValueError(f"more than {MAX_CLASSES} classes")
-    totals = {r[label]: r["n"] for r in counts.groupBy(label).agg(F.sum("n").alias("n")).collect()}
-    width = counts.agg(F.count_distinct("term")).first()[0]
     classes = [r[label] for r in sizes]
+    columns = [f"n{i}" for i in range(len(classes))]
+    counts = pairs.groupBy("term").agg(*[F.coalesce(F.sum(F.when(F.col(label) == c, F.col("tf"))), F.lit(0)).alias(n)
+                                         for n, c in zip(columns, classes)])
+    totals = counts.agg(F.count("*").alias("width"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in columns]).first()
     n = sum(r["docs"] for r in sizes)
     priors = [log(r["docs"]) - log(n) if fit_prior else -log(len(classes)) for r in sizes]
-    denominators = [log(totals.get(c, 0) + alpha * width) for c in classes]
-    by_class = [F.log(F.coalesce(F.sum(F.when(F.col(label) == c, F.col("n"))), F.lit(0)) + float(alpha)) for c in classes]
-    terms = counts.groupBy("term").agg(F.array(*by_class).alias("log_counts"))
+    denominators = [log(totals[c] + alpha * totals["width"]) for c in columns]
+    terms = counts.select("term", F.array(*[F.log(F.col(c) + float(alpha)) for c in columns]).alias("log_counts"))
     return NaiveBayesTable(classes, priors, denominators, terms)
 
 
