@@ -26,7 +26,7 @@ def build_session(app: str = "docloom", cores: int | str = "*", partitions: int
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` as the cluster names it.
 
-    Only a local session without that setting gets a temporary folder.
+    Only a local session without that setting gets a temporary folder, one for all calls.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -36,7 +36,9 @@ def shared_folder(spark: SparkSession) -> str:
         return active
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="docloom-")
+    made = tempfile.mkdtemp(prefix="docloom-")
+    spark.conf.set("spark.checkpoint.dir", made)
+    return made
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:
