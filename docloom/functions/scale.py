@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from docloom.session import ensure_checkpoints
+from docloom.session import ensure_checkpoints, shared_folder
 
-SIDE_ROWS = 20_000
-MAX_SALTS = 32
-HASH_DIGITS = 3
+SIDE_BYTES = 32 << 20
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -19,7 +19,7 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def fetch_side(df: DataFrame, max_rows: int = SIDE_ROWS) -> list | None:
+def fetch_side(df: DataFrame, max_rows: int) -> list | None:
     """The rows of a small result table, or None when it has more than ``max_rows``.
 
     At most ``max_rows + 1`` rows ever reach the driver.
@@ -28,39 +28,57 @@ def fetch_side(df: DataFrame, max_rows: int = SIDE_ROWS) -> list | None:
     return rows if len(rows) <= max_rows else None
 
 
-def join_side(big: DataFrame, side: DataFrame, on: str | Sequence[str], how: str = "inner",
-              max_rows: int = SIDE_ROWS) -> DataFrame:
-    """Join an aggregate (one row per key) to the rows it came from.
+def write_side(df: DataFrame) -> DataFrame:
+    """Write a table to the shared folder as Parquet; the optimizer then knows its size from its files."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/docloom/{df.sparkSession.sparkContext.applicationId}/side-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    The side is computed once and broadcast when its row count is within the
-    bound; a longer one goes through a salted join, which splits hot keys.
-    """
-    rows = fetch_side(side, max_rows)
-    if rows is not None:
-        local = side.sparkSession.createDataFrame(rows, side.schema)
-        return big.join(F.broadcast(local), on, how)
-    return salted_join(big, side, on, how)
 
+def plan_bytes(df: DataFrame) -> int:
+    """Size of a table as the optimizer estimates it; exact for tables in files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-def salted_join(big: DataFrame, side: DataFrame, on: str | Sequence[str], how: str = "inner",
-                salts: int | None = None) -> DataFrame:
-    """Equi join whose hot keys on ``big`` are spread over ``salts`` tasks.
 
-    The default grows with the number of shuffle partitions, since a key cannot
-    be spread wider than those; adaptive skew handling may split further.
+def join_side(big: DataFrame, side: DataFrame, on: str | Sequence[str], how: str = "inner",
+              max_bytes: int = SIDE_BYTES) -> DataFrame:
+    """Join an aggregate (one row per key, NULL a key like others) to the rows it came from.
 
-    ``side`` has one row per key and is repeated once per salt, ``big`` rows
-    draw their salt from a hash of the whole row, so a recomputed task draws the same.
+    The side is computed once, written, and broadcast when its files are within the
+    bound; a larger one is shuffled, where adaptive execution splits hot keys.
     """
     if how not in ("inner", "left"):
-        raise ValueError("the repeated side can only be the optional one")
+        raise ValueError("the side can only be the optional one")
     keys = [on] if isinstance(on, str) else list(on)
-    if salts is None:
-        partitions = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        salts = min(MAX_SALTS, max(2, partitions // 16))
-    salt = F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")
-    spread = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return big.withColumn("_salt", salt).join(spread, keys + ["_salt"], how).drop("_salt")
+    side = write_side(side)
+    named = side.withColumnsRenamed({k: f"_side_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_side_{k}")) for k in keys]
+    joined = big.join(F.broadcast(named) if plan_bytes(side) <= max_bytes else named, same, how)
+    return joined.drop(*[f"_side_{k}" for k in keys])
+
+
+def hot_join(big: DataFrame, side: DataFrame, on: str, count: str, how: str = "inner") -> DataFrame:
+    """Equi join on a string key whose frequency in ``big`` is known: ``side`` has one row per key and its ``count``.
+
+    Keys with more than one part in ``partitions`` of all rows are fewer than there are partitions, so they are broadcast;
+    their rows then get keys of their own, which spread them, and the others are shuffled plainly. Nothing is repeated.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("the side can only be the optional one")
+    partitions = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    side = write_side(side)
+    bound = side.agg(F.sum(count)).scalar() / F.lit(float(partitions))
+    values = [c for c in side.columns if c != on]
+    packed = F.struct(*[F.col(v) for v in values])
+    hot = side.where(F.col(count) > bound).select(on, packed.alias("_hot"))
+    rest = side.where(F.col(count) <= bound).select(F.col(on).alias("_key"), packed.alias("_rest"))
+    met = big.join(F.broadcast(hot), on, "left")
+    own = F.concat(F.lit("\0"), F.xxhash64(*big.columns).cast("string"))
+    met = met.withColumn("_key", F.when(F.col("_hot").isNotNull(), own).otherwise(F.col(on))).join(rest, "_key", "left")
+    met = met.withColumn("_side", F.coalesce("_hot", "_rest"))
+    if how == "inner":
+        met = met.where(F.col("_side").isNotNull())
+    return met.select(*big.columns, *[F.col(f"_side.{v}").alias(v) for v in values])
 
 
 def hash_order(id_col: Column, seed: int) -> Column:
@@ -109,16 +127,21 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return out.where("_row = 1").drop("_row")
 
 
+def slice_digits(df: DataFrame) -> int:
+    """Hex digits that cut a table of this size into slices of about a megabyte, two at least."""
+    return max(2, math.ceil(math.log(max(1, plan_bytes(df) >> 16), 16)))
+
+
 def hash_rank(df: DataFrame, keys: Sequence[str], id_col: str, seed: int) -> DataFrame:
     """Exact rank ``rank`` (1-based) and group size ``rank_total`` in hash order within ``keys``.
 
     The digest is uniform, so its leading digits cut even one huge group into
-    like-sized slices.
+    like-sized slices; their number grows with the size of the table.
     """
     digest = hash_order(F.col(id_col), seed)
     hashed = df.withColumn("_digest", digest)
     ranked = running_totals(hashed, keys, [F.col("_digest"), F.col(id_col)], {"rank": F.lit(1)},
-                            slice_by=F.substring("_digest", 1, HASH_DIGITS))
+                            slice_by=F.substring("_digest", 1, slice_digits(df)))
     return ranked.drop("_digest")
 
 

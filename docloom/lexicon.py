@@ -407,10 +407,3 @@ CATEGORY_ENTITY_TERMS = {
         "procedures": ["fusion", "correction", "brace"],
     },
 }
-
-# Two-sided 95 % quantiles of Student's t by degrees of freedom.
-T_QUANTILES = {
-    1: 12.7062047, 2: 4.3026527, 3: 3.1824463, 4: 2.7764451, 5: 2.5705818,
-    6: 2.4469119, 7: 2.3646243, 8: 2.3060041, 9: 2.2621572, 10: 2.2281389,
-    14: 2.1447867, 19: 2.0930241, 29: 2.0452296,
-}

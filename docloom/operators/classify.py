@@ -16,11 +16,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docloom.functions.scale import fetch_side, join_side, salted_join
+from docloom.functions.scale import hot_join, join_side, settle
 from docloom.operators.evaluate import weighted_metrics
 
-MAX_CLASSES = 1000
-
 
 # ---- class weights ------------------------------------------------------------------------
 
@@ -32,18 +30,23 @@ def balanced_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def with_balanced_weights(df: DataFrame, label: str = "label") -> DataFrame:
-    return join_side(df, balanced_weights(df, label), label)
+    """Every row with the weight of its class; NULL is a class of its own."""
+    return join_side(df, balanced_weights(df, label), label, "left")
 
 
 # ---- multinomial naive Bayes in long form --------------------------------------------------
 
 @dataclass(frozen=True)
 class NaiveBayesTable:
-    """Classes with log prior and log denominator, and per term the array of log counts by class."""
+    """Classes with log prior and log denominator; per term its count ``cf`` and, for the classes that have it, what it adds to their score.
+
+    ``gains`` holds (class, log(n + alpha) - log(alpha)); a class without the term gets ``log(alpha)`` alone.
+    """
 
     classes: list[str]
     priors: list[float]
     denominators: list[float]
+    log_alpha: float
     terms: DataFrame
 
 
@@ -51,34 +54,37 @@ def naive_bayes_fit(pairs: DataFrame, docs: DataFrame, alpha: float = 1.0, fit_p
                     label: str = "label") -> NaiveBayesTable:
     """Fit on ``pairs(id, label, term, tf)`` of the documents ``docs(id, label)``.
 
-    One aggregate per term with a count per class; only class totals reach the driver.
+    Counted by (term, label) once and folded into one row per term, so any number of classes costs no more than its
+    pairs; only class totals reach the driver.
     """
-    sizes = fetch_side(docs.groupBy(label).agg(F.count("*").alias("docs")).orderBy(label), MAX_CLASSES)
-    if sizes is None:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
+    if alpha <= 0:
+        raise ValueError("alpha must be positive")
+    sizes = docs.groupBy(label).agg(F.count("*").alias("docs")).orderBy(label).collect()
     classes = [r[label] for r in sizes]
-    columns = [f"n{i}" for i in range(len(classes))]
-    counts = pairs.groupBy("term").agg(*[F.coalesce(F.sum(F.when(F.col(label) == c, F.col("tf"))), F.lit(0)).alias(n)
-                                         for n, c in zip(columns, classes)])
-    totals = counts.agg(F.count("*").alias("width"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in columns]).first()
+    counts = settle(pairs.groupBy("term", label).agg(F.sum("tf").alias("n")))
+    totals = {r[label]: r["n"] for r in counts.groupBy(label).agg(F.sum("n").alias("n")).collect()}
+    width = counts.select(F.count_distinct("term")).first()[0]
     n = sum(r["docs"] for r in sizes)
     priors = [log(r["docs"]) - log(n) if fit_prior else -log(len(classes)) for r in sizes]
-    denominators = [log(totals[c] + alpha * totals["width"]) for c in columns]
-    terms = counts.select("term", F.array(*[F.log(F.col(c) + float(alpha)) for c in columns]).alias("log_counts"))
-    return NaiveBayesTable(classes, priors, denominators, terms)
+    denominators = [log(totals.get(c, 0) + alpha * width) for c in classes]
+    index = docs.sparkSession.createDataFrame(list(enumerate(classes)), f"class int, {label} {dict(docs.dtypes)[label]}")
+    gain = F.struct("class", (F.log(F.col("n") + float(alpha)) - log(alpha)).alias("gain"))
+    terms = counts.join(F.broadcast(index), label).groupBy("term").agg(F.collect_list(gain).alias("gains"), F.sum("n").alias("cf"))
+    return NaiveBayesTable(classes, priors, denominators, log(alpha), terms)
 
 
 def naive_bayes_score(model: NaiveBayesTable, pairs: DataFrame, docs: DataFrame, id: str = "doc_id") -> DataFrame:
     """``(id, prediction, probability, confidence)`` for every document; unknown terms are ignored."""
-    hits = salted_join(pairs.select(id, "term", "tf"), model.terms, "term")
-    sums = hits.groupBy(id).agg(
-        F.array(*[F.sum(F.col("tf") * F.get("log_counts", i)) for i in range(len(model.classes))]).alias("s"),
-        F.sum("tf").alias("known"))
-    zeros = F.array(*[F.lit(0.0)] * len(model.classes))
-    full = docs.select(id).join(sums, id, "left").select(
-        id, F.coalesce("s", zeros).alias("s"), F.coalesce("known", F.lit(0)).alias("known"))
-    scores = F.array(*[F.lit(p) + F.get("s", i) - F.col("known") * F.lit(d)
-                       for i, (p, d) in enumerate(zip(model.priors, model.denominators))])
+    hits = hot_join(pairs.select(id, "term", "tf"), model.terms, "term", "cf")
+    # class -1 counts the known words of a document
+    gains = hits.select(id, "tf", F.explode(F.concat(F.array(F.struct(F.lit(-1).alias("class"), F.lit(1.0).alias("gain"))), "gains")).alias("g"))
+    sums = (gains.groupBy(id, "g.class").agg(F.sum(F.col("tf") * F.col("g.gain")).alias("s"))
+            .groupBy(id).agg(F.map_from_entries(F.collect_list(F.struct("class", "s"))).alias("s")))
+    full = docs.select(id).join(sums, id, "left")
+    of = lambda i: F.coalesce(F.try_element_at("s", i), F.lit(0.0))
+    known = of(F.lit(-1))
+    constants = F.array(*[F.lit(float(x)) for x in model.priors]), F.array(*[F.lit(model.log_alpha - d) for d in model.denominators])
+    scores = F.transform(F.arrays_zip(constants[0].alias("p"), constants[1].alias("d")), lambda x, i: x["p"] + known * x["d"] + of(i))
     scored = full.select(id, scores.alias("score"))
     shifted = scored.select(id, F.transform("score", lambda x: F.exp(x - F.array_max("score"))).alias("e"))
     total = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)

@@ -7,12 +7,13 @@ models or folds in the same pass.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import lru_cache
 
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from docloom import lexicon
 from docloom.functions.scale import running_totals
 from docloom.functions.text import ratio
 
@@ -187,12 +188,33 @@ def cross_validation_summary(fold_metrics: DataFrame, keys: Sequence[str] = (),
                     (F.col("mean") + half).alias("ci_high"))
 
 
+@lru_cache(maxsize=None)
+def t_quantile(freedom: int, level: float = 0.95) -> float:
+    """Two-sided quantile of Student's t.
+
+    With t = sqrt(v) tan(x) the density is proportional to cos(x) ** (v - 1): its integral is tabulated by Simpson's rule up
+    to where it is negligible and the point that holds ``level`` of it is interpolated.
+    """
+    end = min(math.pi / 2, 12 / math.sqrt(freedom)) if freedom > 1 else math.pi / 2
+    steps = 20_000
+    h = end / steps
+    f = [math.cos(min(i * h / 2, math.pi / 2)) ** (freedom - 1) for i in range(2 * steps + 1)]
+    total, sums = 0.0, [0.0]
+    for i in range(steps):
+        total += h / 6 * (f[2 * i] + 4 * f[2 * i + 1] + f[2 * i + 2])
+        sums.append(total)
+    i = next(k for k, s in enumerate(sums) if s >= level * total)
+    x = h * (i - 1 + (level * total - sums[i - 1]) / (sums[i] - sums[i - 1]))
+    return math.sqrt(freedom) * math.tan(x)
+
+
 def cross_validation_t_interval(fold_metrics: DataFrame, keys: Sequence[str] = (), metric: str = "f1") -> DataFrame:
     """Mean, population std and the 95 % Student t interval of one metric over folds."""
     m = fold_metrics.groupBy(*keys).agg(F.avg(metric).alias("mean"), F.stddev_pop(metric).alias("std"),
                                         F.stddev_samp(metric).alias("sample_std"), F.count("*").alias("folds"))
-    table = F.create_map(*[F.lit(x) for pair in lexicon.T_QUANTILES.items() for x in pair])
-    t = F.element_at(table, (F.col("folds") - 1).cast("int"))
+    counts = [r[0] for r in m.select("folds").distinct().collect()]
+    table = F.create_map(*[F.lit(x) for k in counts if k > 1 for x in (k, t_quantile(k - 1))], F.lit(0), F.lit(None).cast("double"))
+    t = F.try_element_at(table, F.col("folds").cast("int"))
     half = t * F.col("sample_std") / F.sqrt("folds")
     return m.select(*keys, "mean", "std", (F.col("mean") - half).alias("ci_low"), (F.col("mean") + half).alias("ci_high"))
 

@@ -11,11 +11,9 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from docloom import lexicon
-from docloom.functions.scale import fetch_side, join_side, salted_join
+from docloom.functions.scale import hot_join, join_side
 from docloom.functions.text import count_of, let, ngrams, period_parts, ratio, run_lengths, unnest, word_tokens, words
 
-VOCABULARY_ROWS = 262_144
-
 
 # ---- TF-IDF -------------------------------------------------------------------------------
 
@@ -44,17 +42,14 @@ def tfidf(df: DataFrame, tokens: Column, id: str = "doc_id", carry: Sequence[str
           term_weight: Callable[[Column], Column] | None = None) -> DataFrame:
     """TF-IDF in long form ``(id, carry…, term, tf, weight)``, rows of length 1 per document.
 
-    A vocabulary within the row bound is broadcast; a larger one is joined with
-    salted terms, because a common term occurs in most documents. ``term_weight``
+    The frequency of a term is known, so common terms meet their documents by
+    broadcast and all others in a plain shuffle. ``term_weight``
     multiplies the normalized weight and is not normalized again.
     """
     pairs = term_counts(df, tokens, id, carry)
     docs = df.agg(F.count("*").alias("n")).scalar()
-    vocab = term_vocabulary(pairs, docs, min_df, max_df, max_features).select("term", "idf")
-    if max_features is not None and max_features <= VOCABULARY_ROWS:
-        joined = pairs.join(F.broadcast(vocab), "term")
-    else:
-        joined = salted_join(pairs, vocab, "term")
+    vocab = term_vocabulary(pairs, docs, min_df, max_df, max_features).select("term", "idf", "df")
+    joined = hot_join(pairs, vocab, "term", "df").drop("df")
     raw = joined.withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id)))
     weight = F.col("w") / norm
@@ -85,13 +80,11 @@ def fit_vocabulary(df: DataFrame, tokens: str, id: str = "doc_id", min_df: int =
                    max_features: int = 1000) -> list:
     """Vocabulary rows ``(term, idf)`` in falling corpus frequency, for the vector form.
 
-    A vector model keeps its terms on every executor, so ``max_features`` is bounded.
+    A vector model keeps its terms on the driver and every executor: ``max_features`` is their number.
     """
-    if max_features > VOCABULARY_ROWS:
-        raise ValueError(f"vector features are limited to {VOCABULARY_ROWS} terms; use tfidf() in long form")
     docs = df.agg(F.count("*").alias("n")).scalar()
     vocab = term_vocabulary(term_counts(df, F.col(tokens), id), docs, min_df, max_df, max_features)
-    return fetch_side(vocab.orderBy(F.desc("cf"), F.asc("term")).select("term", "idf"), VOCABULARY_ROWS)
+    return vocab.orderBy(F.desc("cf"), F.asc("term")).select("term", "idf").collect()
 
 
 def counts_model(terms: Sequence[str], tokens: str, output: str) -> CountVectorizerModel:

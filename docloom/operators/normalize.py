@@ -171,7 +171,7 @@ class CleaningConfig:
     """Switches of the ordered cleaning chain."""
 
     category: str | None = None
-    max_length: int = 9000
+    max_length: int | None = None
     preserve_case: bool = True
     include_scores: bool = True
     standardize_terms: bool = True
@@ -181,8 +181,12 @@ class CleaningConfig:
 
 def clean_text(df: DataFrame, config: CleaningConfig = CleaningConfig(), text: str = "text") -> DataFrame:
     """The ordered chain: blanks, length, characters, scores, abbreviations, synonyms,
-    category, stopwords, case, tokens; then the hard cap. Audit columns are kept."""
-    out = df.transform(normalize_whitespace, text).transform(normalize_length, text, config.max_length)
+    category, stopwords, case, tokens; with a ``max_length``, then the hard cap. Audit columns are kept."""
+    out = df.transform(normalize_whitespace, text)
+    if config.max_length is None:
+        out = out.withColumn("original_length", F.length(text).cast("long"))
+    else:
+        out = normalize_length(out, text, config.max_length)
     out = clean_special_characters(out, text)
     if config.include_scores:
         out = extract_scores(out, text)
@@ -196,7 +200,7 @@ def clean_text(df: DataFrame, config: CleaningConfig = CleaningConfig(), text: s
     if not config.preserve_case:
         out = lowercase(out, text)
     out = tokenize(out, text, improved=True, split_capitals=config.split_capitals)
-    return out.withColumn(text, F.substring(text, 1, config.max_length))
+    return out if config.max_length is None else out.withColumn(text, F.substring(text, 1, config.max_length))
 
 
 def cleaning_run(df: DataFrame, config: CleaningConfig = CleaningConfig(), text: str = "text") -> DataFrame:

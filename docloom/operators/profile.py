@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T, Window
 
 from docloom import lexicon
-from docloom.functions.scale import join_side, salted_join, top_rows
+from docloom.functions.scale import hot_join, join_side, top_rows
 from docloom.functions.text import BLANKS, WORD, count_of, sentences, unnest, words
 
 
@@ -263,7 +263,7 @@ def duplicate_rows(df: DataFrame, text: str = "text", id: str = "doc_id") -> Dat
     """Each document that repeats the text of an earlier one, with the id of that first copy."""
     keyed = df.select(id, text_digest(F.col(text)).alias("digest"))
     groups = keyed.groupBy("digest").agg(F.min(id).alias("first_id"), F.count("*").alias("copies"))
-    joined = salted_join(keyed, groups.where("copies > 1"), "digest")
+    joined = hot_join(keyed, groups.where("copies > 1"), "digest", "copies")
     return joined.where(F.col(id) > F.col("first_id")).select(id, "first_id", "copies")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -37,15 +39,6 @@ def read_parquet(spark: SparkSession, path: str, required: Sequence[str] = ()) -
     return require_columns(spark.read.parquet(path), required)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a table that comes in fewer pieces than there are cores.
-
-    Text work is heavy per row; a table of many files is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, escape='"', quote='"', quoteAll=True)
 
@@ -65,7 +58,9 @@ def prepared_report(df: DataFrame, label: str = "label", features: str | None =
     """Rows, classes and vector width per split."""
     aggs = [F.count("*").alias("rows"), F.count_distinct(label).alias("classes")]
     if features:
-        aggs.append(F.max(F.size(features)).cast("long").alias("width"))
+        vector = isinstance(df.schema[features].dataType, VectorUDT)
+        width = F.size(vector_to_array(features)) if vector else F.size(features)
+        aggs.append(F.max(width).cast("long").alias("width"))
     return df.groupBy("split").agg(*aggs)
 
 

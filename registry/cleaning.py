@@ -129,8 +129,8 @@ def _whole_words(terms) -> str:
 SELECT doc_id, CAST(len(list_distinct(regexp_extract_all({DOUBLED}, {lit(_whole_words(ABBREVIATIONS))}, 1))) AS BIGINT) AS abbreviations
 FROM {S}""")
 def _(spark, sf):
-    found = F.regexp_extract_all("text", F.lit("(?U)" + any_of(ABBREVIATIONS, r"\b(?:{})\b")), F.lit(0))
-    return tidy(squeezed(spark, sf).select("doc_id", F.size(F.array_distinct(found)).alias("abbreviations")))
+    out = n.normalize_abbreviations(squeezed(spark, sf), table=ABBREVIATIONS, units=UNITS)
+    return tidy(out.select("doc_id", F.size("expanded").alias("abbreviations")))
 
 
 @query("n08_measurement_values", f"""
@@ -276,19 +276,23 @@ def _(spark, sf):
     return n.extract_numbers(docs(spark, sf)).select("doc_id", joined("numbers").alias("numbers"))
 
 
-TAIL = "regexp_extract(text, '[.]([^.]*)$', 1)"
+# The documents and a few blank ones, which the table has none of.
+BLANKS_TOO = "(SELECT doc_id, text FROM documents UNION ALL SELECT * FROM (VALUES (-1, NULL), (-2, ''), (-3, '  '), (-4, chr(10) || chr(9))) AS b(doc_id, text))"
 
 
-@query("n24_valid_texts", rf"SELECT doc_id, t AS text FROM (SELECT doc_id, {TAIL} AS t FROM documents) WHERE regexp_matches(t, '\S')")
+def with_blanks(spark, sf):
+    blanks = spark.createDataFrame([(-1, None), (-2, ""), (-3, "  "), (-4, "\n\t")], "doc_id long, text string")
+    return docs(spark, sf).select("doc_id", "text").unionByName(blanks)
+
+
+@query("n24_valid_texts", rf"SELECT doc_id, text FROM {BLANKS_TOO} WHERE regexp_matches(text, '\S')")
 def _(spark, sf):
-    d = docs(spark, sf).select("doc_id", F.regexp_extract("text", r"[.]([^.]*)$", 1).alias("text"))
-    return n.valid_texts(d)
+    return n.valid_texts(with_blanks(spark, sf))
 
 
-@query("n24_rejected_texts", rf"SELECT doc_id FROM (SELECT doc_id, {TAIL} AS t FROM documents) WHERE NOT regexp_matches(t, '\S')")
+@query("n24_rejected_texts", rf"SELECT doc_id FROM {BLANKS_TOO} WHERE text IS NULL OR NOT regexp_matches(text, '\S')")
 def _(spark, sf):
-    d = docs(spark, sf).select("doc_id", F.regexp_extract("text", r"[.]([^.]*)$", 1).alias("text"))
-    return n.rejected_texts(d).select("doc_id")
+    return n.rejected_texts(with_blanks(spark, sf)).select("doc_id")
 
 
 @query("n25_ordered_cleaning")
@@ -299,18 +303,18 @@ def _(spark, sf):
 
 @query("n26_cleaning_run")
 def _(spark, sf):
-    out = n.cleaning_run(docs(spark, sf).select("doc_id", "text"))
+    out = n.cleaning_run(docs(spark, sf).select("doc_id", "text"), n.CleaningConfig(max_length=9000))
     return out.select("doc_id", "stats.*")
 
 
-@query("n26_cleaning_lengths", f"""
+@query("n26_cleaning_lengths", r"""
 SELECT doc_id, CAST(length(text) AS BIGINT) AS original_length,
-  CAST(length(substr({SQUEEZED}, 1, 9000)) AS BIGINT) AS processed_length
+  CAST(len(regexp_extract_all(text, '\d+\.\d+')) + len(regexp_extract_all(text, '\d+')) + len(regexp_extract_all(text, '\d+\s*-\s*\d+'))
+       + len(regexp_extract_all(text, '\d+/\d+')) AS BIGINT) AS numbers_found
 FROM documents""")
 def _(spark, sf):
-    d = docs(spark, sf).select("doc_id", "text", F.length("text").cast("long").alias("original_length"))
-    out = n.normalize_whitespace(d).withColumn("text", F.substring("text", 1, 9000))
-    return out.select("doc_id", "original_length", F.length("text").cast("long").alias("processed_length"))
+    out = n.cleaning_run(docs(spark, sf).select("doc_id", "text"))
+    return out.select("doc_id", "stats.original_length", "stats.numbers_found")
 
 
 @query("n28_term_step")

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from docloom import lexicon
+from docloom.functions.scale import plan_bytes
 from docloom.session import shared_folder
-from docloom.sources.tables import spread
 
+SMALL_TABLE = 64 << 20
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -28,7 +29,9 @@ def load(spark: SparkSession, sf: str, table: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(load(spark, sf, "documents"))
+    """The documents. A file of one row group is one task: a small table is dealt to all cores, a large one has pieces enough."""
+    d = load(spark, sf, "documents")
+    return d.repartition(spark.sparkContext.defaultParallelism) if plan_bytes(d) <= SMALL_TABLE else d
 
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:

@@ -154,11 +154,11 @@ def _(spark, sf):
     return tidy(f.entity_features(docs(spark, sf), category="Corpus", terms=ENTITIES, category_terms=OWN))
 
 
-@query("f12_word_vectors")
+@query("f12_word_vectors", f"SELECT term AS word, 100 AS width FROM (SELECT unnest({WORD_TOKENS}) AS term FROM documents) GROUP BY term HAVING count(*) >= 2")
 def _(spark, sf):
     d = docs(spark, sf).select("doc_id", word_tokens(F.col("text")).alias("tokens"))
-    model = f.train_word_vectors(d, size=16, maxIter=1)
-    return model.getVectors().select("word")
+    model = f.train_word_vectors(d)
+    return tidy(model.getVectors().select("word", F.size(vector_to_array("vector")).alias("width")))
 
 
 # The n-th most frequent word gets the n-th row of the embeddings table as its vector.

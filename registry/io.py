@@ -9,10 +9,10 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from docloom.functions.text import words
 from docloom.operators import classify as c, evaluate as e, splits as s
 from docloom.sources import metrics, tables
-from registry.common import docs, load, query, r, tidy, words_of, workspace
-from registry.evaluation import P, fold_metrics, preds
+from registry.common import docs, in_list, load, query, r, tidy, words_of, workspace
+from registry.evaluation import FOLDED, P, fold_metrics, metrics_cte, preds
 from registry.models import text_model, vectors
-from registry.splits import SPLIT
+from registry.splits import SPLIT, ranked
 
 CSV = StructType([StructField("doc_id", LongType()), StructField("text", StringType()), StructField("lang", StringType())])
 
@@ -65,7 +65,7 @@ def _(spark, sf):
     return tidy(tables.prepared_report(tables.load_prepared(spark, prepared(spark, sf, "io04")), "lang"))
 
 
-@query("io05_cached_batches")
+@query("io05_cached_batches", f"SELECT doc_id, lang, CAST(floor((rank - 1) / 32) AS BIGINT) AS batch_id FROM {ranked()}")
 def _(spark, sf):
     folder = workspace(spark, f"io05/{sf.rstrip("/").rsplit("/", 1)[-1]}")
     build = lambda: s.batches(docs(spark, sf).select("doc_id", "lang"), 32)
@@ -73,7 +73,15 @@ def _(spark, sf):
     return tidy(tables.cached_batches(spark, folder, "all", 32, build))
 
 
-@query("io06_metrics_log")
+LOGGED = "SELECT fold AS step, unnest([{names}]) AS name, unnest([{values}]) AS value FROM wm"
+
+
+def logged(experiment: str, names) -> str:
+    picked = LOGGED.format(names=in_list(names), values=", ".join(r(n) for n in names))
+    return f"SELECT '{experiment}' AS experiment_id, 'val' AS metric_type, CAST(step AS BIGINT) AS step, name, value FROM ({picked})"
+
+
+@query("io06_metrics_log", f"WITH {FOLDED}, {metrics_cte('fold')} {logged('rules', e.METRICS)}")
 def _(spark, sf):
     folder = workspace(spark, "io06")
     rows = metrics.long_to_metrics(fold_metrics(spark, sf), "rules", "val", "fold", e.METRICS)
@@ -81,7 +89,9 @@ def _(spark, sf):
     return tidy(metrics.load_metrics(spark, folder, "rules").drop("ts"))
 
 
-@query("e27_logged_metrics")
+@query("e27_logged_metrics", f"""WITH {FOLDED}, {metrics_cte('fold')},
+whole AS (WITH {P} SELECT count_if(label = prediction) / CAST(count(*) AS DOUBLE) AS accuracy FROM pr)
+{logged('run', ['f1'])} UNION ALL SELECT 'run', 'overall', 0, 'accuracy', {r('accuracy')} FROM whole""")
 def _(spark, sf):
     folder = workspace(spark, "e27")
     first = metrics.long_to_metrics(fold_metrics(spark, sf), "run", "val", "fold", ["f1"])

@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -10,7 +11,7 @@ from docloom.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", 8, 8)
+    session = build_session("tests", os.environ.get("TEST_CORES", 8), 8)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -133,7 +133,9 @@ def test_text_model_saved_and_streamed(spark, sf, tmp_path):
     d.select("doc_id", "text").write.parquet(source)
     stream = spark.readStream.schema("doc_id long, text string").parquet(source)
     scoring.score_stream(again, stream, labels, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
-    assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select("doc_id", "prediction").collect()} == batch
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert {tuple(r) for r in out.where("status = 'scored'").select("doc_id", "prediction").collect()} == batch
+    assert out.count() == d.count()
     blank = spark.createDataFrame([(1, " "), (2, None), (3, "the of and")], "doc_id long, text string")
     scored, rejects = scoring.score_table(again, blank, labels)
     assert scored.count() == 1 and rejects.count() == 2
@@ -158,3 +160,24 @@ def test_sources(spark, tmp_path):
     for _ in range(2):
         assert tables.cached_batches(spark, str(tmp_path), "train", 32, build).count() == 3
     assert built == [1]
+
+
+def test_weights_keep_rows_without_label(spark):
+    rows = spark.range(200).select(F.when(F.col("id") % 4 > 0, F.col("id") % 3).alias("label"))
+    out = c.with_balanced_weights(rows)
+    assert out.count() == 200 and out.where("weight IS NULL").isEmpty()
+
+
+def test_naive_bayes_with_many_classes(spark):
+    docs = spark.range(2002).select(F.col("id").alias("doc_id"), (F.col("id") % 1001).cast("string").alias("label"))
+    pairs = docs.select("doc_id", "label", F.concat(F.lit("w"), "label").alias("term"), F.lit(3).alias("tf"))
+    model = c.naive_bayes_fit(pairs, docs)
+    scored = c.naive_bayes_score(model, pairs, docs).join(docs, "doc_id")
+    assert scored.count() == 2002 and scored.where("prediction <> label").isEmpty()
+
+
+def test_long_texts_are_used_whole(spark):
+    long = " ".join(["filler"] * 3000) + " lastword"
+    rows = spark.createDataFrame([(i, long if i % 2 else "other text here", "ab"[i % 2]) for i in range(20)], "doc_id long, text string, label string")
+    model = prepare.fit_text_features(rows, max_df=1.0)
+    assert "lastword" in prepare.vocabulary_of(model)

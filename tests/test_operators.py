@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.functions.scale import fetch_side, hash_rank, join_side, running_totals, salted_join, top_rows
+from docloom.functions.scale import fetch_side, hash_rank, hot_join, join_side, running_totals, top_rows
 from docloom.functions.text import plain_word_tokens, word_tokens
 from docloom.operators import evaluate as e, features as f, profile as p, splits as s, vocabulary as v
 
@@ -44,13 +44,14 @@ def test_hash_rank_is_a_permutation_per_group(skewed):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_equals_join(skewed, how):
+def test_side_joins_equal_join(skewed, how):
     side = skewed.where("label <> 'k3'").groupBy("label").agg(F.sum("v").alias("total"))
     plain = Counter(map(tuple, skewed.join(side, "label", how).select("doc_id", "label", "total").collect()))
-    salted = salted_join(skewed, side, "label", how, salts=5).select("doc_id", "label", "total").collect()
-    assert Counter(map(tuple, salted)) == plain
+    counted = skewed.where("label <> 'k3'").groupBy("label").agg(F.sum("v").alias("total"), F.count("*").alias("n"))
+    hot = hot_join(skewed, counted, "label", "n", how).select("doc_id", "label", "total").collect()
+    assert Counter(map(tuple, hot)) == plain
     assert Counter(map(tuple, join_side(skewed, side, "label", how).select("doc_id", "label", "total").collect())) == plain
-    beyond = join_side(skewed, side, "label", how, max_rows=1).select("doc_id", "label", "total").collect()
+    beyond = join_side(skewed, side, "label", how, max_bytes=1).select("doc_id", "label", "total").collect()
     assert Counter(map(tuple, beyond)) == plain
 
 
@@ -235,3 +236,29 @@ def test_bundle_and_summaries(spark, preds):
     t = e.cross_validation_t_interval(folds).first()
     assert t["ci_high"] - t["mean"] == pytest.approx(12.7062047 * 0.1414213562 / math.sqrt(2), rel=1e-6)
     assert e.best_fold(folds).first()["fold"] == 1
+
+
+def test_hot_join_spreads_a_key_with_a_third_of_the_rows(spark):
+    rows = spark.range(0, 6000, numPartitions=8).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 1000)).alias("key"))
+    side = rows.groupBy("key").agg(F.count("*").alias("n"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        per_task = [r[0] for r in hot_join(rows, side, "key", "n").groupBy(F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(per_task) == 6000 and max(per_task) < 3 * 6000 / 8
+
+
+def test_split_column_agrees_with_split_for_missing_labels(spark):
+    rows = spark.range(200).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 4 > 0, F.concat(F.lit("c"), F.col("id") % 3)).alias("label"))
+    wide = {r["doc_id"]: r["split"] for r in s.add_split(rows).collect()}
+    assert wide == {r["doc_id"]: r["split"] for r in s.stratified_split(rows).collect()}
+
+
+def test_t_quantiles_for_any_number_of_folds(spark):
+    for freedom, want in ((1, 12.7062047), (2, 4.3026527), (4, 2.7764451), (11, 2.2009852), (29, 2.0452296), (200, 1.9718962)):
+        assert math.isclose(e.t_quantile(freedom), want, rel_tol=1e-6)
+    folds = spark.range(12).select(F.col("id").alias("fold"), (F.col("id") / 10).alias("f1"))
+    row = e.cross_validation_t_interval(folds).first()
+    assert row["ci_low"] < row["mean"] < row["ci_high"]
