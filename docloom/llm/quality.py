@@ -126,8 +126,8 @@ def thresholds(values: DataFrame) -> DataFrame:
     pick = lambda level, keys: f.where(F.col("level") == level).select(
         *[F.col(k).alias(f"_{k}{level}") for k in keys], F.struct("n_docs", *names).alias(f"_f{level}"))
     fine = pick(2, ["lang", "source"]).select(F.col("_lang2").alias("lang"), F.col("_source2").alias("source"), "_f2")
-    joined = (fine.join(pick(1, ["lang"]), F.col("lang").eqNullSafe(F.col("_lang1")), "left").crossJoin(F.broadcast(pick(0, []))))
-    best = (F.when(F.col("_f2.n_docs") >= MIN_GROUP, F.col("_f2")).when(F.col("_f1.n_docs") >= MIN_GROUP, F.col("_f1")).otherwise(F.col("_f0")))
+    joined = fine.join(pick(1, ["lang"]), F.col("lang").eqNullSafe(F.col("_lang1")), "left")
+    best = (F.when(F.col("_f2.n_docs") >= MIN_GROUP, F.col("_f2")).when(F.col("_f1.n_docs") >= MIN_GROUP, F.col("_f1")).otherwise(pick(0, []).scalar()))
     return settle(joined.withColumn("_b", best).select("lang", "source", *[F.col(f"_b.{n}").alias(n) for n in names]), "thresholds")
 
 
