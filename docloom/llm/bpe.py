@@ -21,7 +21,7 @@ from functools import lru_cache
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from docloom.llm.common import Memo
 
@@ -138,7 +138,7 @@ def vocabulary(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def _mapped(df: DataFrame, source: str, result: dict[str, tuple[str, pa.DataType]], step) -> DataFrame:
+def _mapped(df: DataFrame, source: str, result: dict[str, tuple[T.DataType, pa.DataType]], step) -> DataFrame:
     """``df`` with the columns of ``result``, which ``step`` computes from the Python values of ``source``."""
     kept = [c for c in df.columns if c.lower() not in result]
     given = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{source}`").alias("_in"))
@@ -151,21 +151,22 @@ def _mapped(df: DataFrame, source: str, result: dict[str, tuple[str, pa.DataType
                 arrays = [pa.array(v, t) for v, (_, t) in zip(made, result.values())]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *arrays], names=[*kept, *result])
 
-    schema = given.drop("_in").schema
-    for name, (kind, _) in result.items():
-        schema = schema.add(name, kind)
-    return given.mapInArrow(run, schema)
+    added = [T.StructField(name, kind) for name, (kind, _) in result.items()]
+    return given.mapInArrow(run, T.StructType([*given.drop("_in").schema.fields, *added]))
+
+
+IDS, TEXT = (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())), (T.StringType(), pa.string())
 
 
 def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """Adds ``ids`` (array of int): the whole text's ids; added tokens in the text are recognized, none are put in."""
-    return _mapped(df, text, {"ids": ("array<int>", pa.list_(pa.int32()))},
+    return _mapped(df, text, {"ids": IDS},
                    lambda texts: [[vocabulary(path).encode(t) for t in texts]])
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """Adds ``decoded``: the text of the ids, added tokens included; bytes that are no UTF-8 become U+FFFD."""
-    return _mapped(df, ids, {"decoded": ("string", pa.string())},
+    return _mapped(df, ids, {"decoded": TEXT},
                    lambda lists: [[vocabulary(path).decode(x) for x in lists]])
 
 
@@ -176,4 +177,4 @@ def round_trip(df: DataFrame, path: str, text: str = "text") -> DataFrame:
         lists = [bpe.encode(t) for t in texts]
         return lists, [bpe.decode(x) for x in lists]
 
-    return _mapped(df, text, {"ids": ("array<int>", pa.list_(pa.int32())), "decoded": ("string", pa.string())}, step)
+    return _mapped(df, text, {"ids": IDS, "decoded": TEXT}, step)
