@@ -120,17 +120,22 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     A document that is not taken is left out. ``n_chars`` is that of the text given.
     """
-    key = "_rid"
-    numbered = settle(docs.withColumn(key, F.monotonically_increasing_id()).withColumn("size", size_of()), "mix-documents")
-    taken = plan_mix(numbered.select(key, "doc_id", "source", "size"), **options).select(key, "taken").where("taken > 0")
-    rows = numbered.join(taken, key)
-    copies = F.floor(F.col("taken") / F.col("size"))
-    rest = F.col("taken") % F.col("size")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    numbered = settle(docs.select(row, F.monotonically_increasing_id().alias("_rid"), size_of().alias("_size")), "mix-documents")
+    taken = plan_mix(numbered.select("_rid", "_row.doc_id", "_row.source", F.col("_size").alias("size")), **options)
+    rows = numbered.join(taken.select("_rid", "taken").where("taken > 0"), "_rid")
+    copies = F.floor(F.col("taken") / F.col("_size"))
+    rest = F.col("taken") % F.col("_size")
     rows = rows.withColumn("_part", F.explode(F.sequence(F.lit(1).cast("long"), copies + F.when(rest > 0, 1).otherwise(0))))
-    words = F.split(blank_text(), rf"(?<={WORD[:-1]})(?={BLANK})")
-    head = F.array_join(F.slice(words, 1, rest.cast("int")), "")
+    words = F.split(blank_text("_row.text"), rf"(?<={WORD[:-1]})(?={BLANK})")
     cut = F.col("_part") > copies
-    out = rows.withColumn("text", F.when(cut, head).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(cut, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = rows.withColumn("_text", F.when(cut, F.array_join(F.slice(words, 1, rest.cast("int")), "")).otherwise(F.col("_row.text")))
+    out = []
+    for f in docs.schema.fields:
+        value = F.col(f"_row.`{f.name}`")
+        if f.name == "text":
+            value = F.col("_text")
+        elif f.name == "n_chars":
+            value = F.when(cut, F.char_length("_text").cast(f.dataType)).otherwise(value)
+        out.append(value.alias(f.name))
+    return rows.select(*out)
