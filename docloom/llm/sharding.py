@@ -39,19 +39,20 @@ def facts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def linked_units(rows: DataFrame, shards: int, total: int) -> DataFrame:
-    """Rows of texts that occur more than once: ``rid, doc_id, unit, seed`` with the shard the unit leans to at first."""
+    """Rows of texts that occur more than once: ``rid, unit, seed, split``: the shard the unit leans to, and whether its group has other units."""
     most = max(1, total // (shards * UNITS_PER_SHARD))
     groups = settle(rows.groupBy("sha").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1"), "shard-groups")
     parts = F.ceil(F.col("copies") / most).cast("long")
     part = F.pmod(F.xxhash64("rid", F.lit(3)), parts)
     lean = F.pmod(F.xxhash64("sha") + F.floor(part / UNITS_PER_SHARD), F.lit(shards)).cast("int")
-    return rows.join(groups, "sha").select("rid", F.xxhash64("sha", part).alias("unit"), lean.alias("seed"))
+    return rows.join(groups, "sha").select("rid", F.xxhash64("sha", part).alias("unit"), lean.alias("seed"), (parts > 1).alias("split"))
 
 
 def propagate(members: DataFrame, shards: int, quotas: list[int], rounds: int = ROUNDS) -> DataFrame:
-    """Moves members (``rid, unit, seed, shard``) towards their neighbours' shards; returns the same columns.
+    """Moves members (``rid, unit, seed, split, shard``) towards their neighbours' shards; returns the same columns.
 
-    A unit's wish is the shard with most of its members; ties go to the shard it leans to, then to the one with more room. A full
+    A unit's wish is the shard with most of its members; ties go to the shard it leans to, then to the one with more room. In the first round,
+    units of a group with several wish for where they lean, as neighbours lean there too. A full
     shard is wished for only by units that are in it. Of those who wish into a shard with too little room, a hash of unit and
     round lets in the share that fits, whole units at a time.
     """
@@ -59,11 +60,13 @@ def propagate(members: DataFrame, shards: int, quotas: list[int], rounds: int =
         load = {r["shard"]: r["n"] for r in members.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
         room = [max(0, quotas[s] - load.get(s, 0)) for s in range(shards)]
         spare = F.element_at(F.array(*[F.lit(float(r)) for r in room]), F.col("shard") + 1)
-        cells = members.groupBy("unit", "seed", "shard").agg(F.count(F.lit(1)).alias("n"))
+        cells = members.groupBy("unit", "seed", "split", "shard").agg(F.count(F.lit(1)).alias("n"))
+        score = F.col("n")
         if turn == 0:  # a unit may gather where it leans to even if none of it is there yet
-            lean = cells.select("unit", "seed", F.col("seed").alias("shard")).distinct().withColumn("n", F.lit(0).cast("long"))
-            cells = cells.unionByName(lean).groupBy("unit", "seed", "shard").agg(F.sum("n").alias("n"))
-        likes = F.struct(F.when(spare > 0, F.lit(1)).otherwise(0).alias("open"), F.col("n"), (F.col("shard") == F.col("seed")).cast("int").alias("lean"),
+            lean = cells.select("unit", "seed", "split", F.col("seed").alias("shard")).distinct().withColumn("n", F.lit(0).cast("long"))
+            cells = cells.unionByName(lean).groupBy("unit", "seed", "split", "shard").agg(F.sum("n").alias("n"))
+            score = F.when(F.col("split") & (F.col("shard") == F.col("seed")), F.lit(1 << 60)).otherwise(F.col("n"))
+        likes = F.struct(F.when(spare > 0, F.lit(1)).otherwise(0).alias("open"), score.alias("score"), (F.col("shard") == F.col("seed")).cast("int").alias("lean"),
                          spare.alias("room"), F.col("shard").alias("to"))
         unit = Window.partitionBy("unit")
         cells = cells.withColumn("wish", F.max(likes).over(unit)["to"]).withColumn("open", F.max(likes).over(unit)["open"])
