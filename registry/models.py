@@ -128,7 +128,7 @@ def text_model(spark, sf):
     """Feature and naive Bayes stages in one model, and the label of each index."""
     d = docs(spark, sf).select("doc_id", "text", F.col("lang").alias("label"))
     index = s.label_index(d)
-    features = prepare.fit_text_features(d, clean=False, max_features=500)
+    features = prepare.fit_text_features(d)
     coded = s.encode_labels(features.transform(d), index)
     nb = c.naive_bayes(featuresCol="tfidf", labelCol="label_index").fit(coded)
     return PipelineModel([*features.stages, nb]), [row["label"] for row in index.orderBy("label_index").collect()]
