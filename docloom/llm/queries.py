@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docloom.llm import bpe, dedup, licenses, mix, near_dedup, quality, sharding, substrings, token_files, wrappers
+from docloom.llm import bpe, dedup, licenses, mix, near_dedup, quality, sharding, sql, substrings, token_files, wrappers
 from docloom.llm.common import load, new_folder, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,14 +53,15 @@ def op2(spark, sf):
 @query("op3_html_extraction", r"""
 WITH part AS (SELECT page_id, url, list_filter(list_transform(
     string_split_regex(regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'), '</?(?:p|h1|br)>'),
-    lambda x: trim(regexp_replace(html_unescape(regexp_replace(x, '<[^>]*>', '', 'g')), '\s+', ' ', 'g'))), lambda x: x <> '') AS blocks FROM pages)
+    lambda x: trim(regexp_replace(regexp_replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'),
+        '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda x: x <> '') AS blocks FROM pages)
 SELECT page_id, url, coalesce(array_to_string(blocks, chr(10)), '') AS text, CAST(length(coalesce(array_to_string(blocks, chr(10)), '')) AS BIGINT) AS n_chars
 FROM part""")
 def op3(spark, sf):
     return wrappers.extract(load(spark, sf, "pages"))
 
 
-@query("op4_license_scan")
+@query("op4_license_scan", sql.license_scan())
 def op4(spark, sf):
     return licenses.scan(load(spark, sf, "documents")).drop("blocks")
 
@@ -85,27 +86,27 @@ def op7(spark, sf):
     return token_files.stored_documents(spark, folder)
 
 
-@query("op9_quality_rules")
+@query("op9_quality_rules", sql.quality_rules())
 def op9(spark, sf):
     rows = quality.verdicts(load(spark, sf, "documents"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-@query("op10_minhash_dedup")
+@query("op10_minhash_dedup", sql.near_groups())
 def op10(spark, sf):
     return near_dedup.near_groups(load(spark, sf, "documents"), words=4).drop("fp")
 
 
 @query("op8_substring_dedup", r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
-p AS (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS at FROM w WHERE len(words) >= 35),
-h AS (SELECT doc_id, at, array_to_string(words[at:at + 34], ' ') AS part FROM p),
-r AS (SELECT doc_id, list(at) AS ats FROM (SELECT doc_id, at, count(*) OVER (PARTITION BY part) AS n FROM h) WHERE n > 1 GROUP BY doc_id),
+p AS (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS pos FROM w WHERE len(words) >= 35),
+h AS (SELECT doc_id, pos, array_to_string(words[pos:pos + 34], ' ') AS part FROM p),
+r AS (SELECT doc_id, list(pos) AS ats FROM (SELECT doc_id, pos, count(*) OVER (PARTITION BY part) AS n FROM h) WHERE n > 1 GROUP BY doc_id),
 g AS (SELECT doc_id, list_distinct(flatten(list_transform(ats, lambda a: range(a, a + 35)))) AS gone FROM r),
 k AS (SELECT w.doc_id, len(w.words) AS n, coalesce(len(gone), 0) AS lost, w.words, gone FROM w LEFT JOIN g USING (doc_id)),
-u AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, n + 1)) AS at FROM k WHERE lost > 0),
-v AS (SELECT u.doc_id, string_agg(word, ' ' ORDER BY u.at) AS kept FROM u LEFT JOIN (SELECT doc_id, unnest(gone) AS at, 1 AS x FROM g) AS x
-      ON u.doc_id = x.doc_id AND u.at = x.at WHERE x.x IS NULL GROUP BY u.doc_id)
+u AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, n + 1)) AS pos FROM k WHERE lost > 0),
+v AS (SELECT u.doc_id, string_agg(word, ' ' ORDER BY u.pos) AS kept FROM u LEFT JOIN (SELECT doc_id, unnest(gone) AS pos, 1 AS x FROM g) AS x
+      ON u.doc_id = x.doc_id AND u.pos = x.pos WHERE x.x IS NULL GROUP BY u.doc_id)
 SELECT k.doc_id, CAST(n AS BIGINT) AS n_words, CAST(lost AS BIGINT) AS n_removed,
        sha256(CASE WHEN lost = 0 THEN array_to_string(words, ' ') ELSE coalesce(v.kept, '') END) AS kept_sha256
 FROM k LEFT JOIN v ON v.doc_id = k.doc_id""")
