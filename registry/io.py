@@ -65,6 +65,16 @@ def _(spark, sf):
     return tidy(tables.prepared_report(tables.load_prepared(spark, prepared(spark, sf, "io04")), "lang"))
 
 
+@query("io04_vector_report", """
+SELECT CASE WHEN vec_id % 2 = 0 THEN 'even' ELSE 'odd' END AS split, count(*) AS rows, count(DISTINCT label) AS classes, CAST(max(len(embedding)) AS BIGINT) AS width
+FROM embeddings GROUP BY ALL""")
+def _(spark, sf):
+    path = workspace(spark, "io04v")
+    halves = F.when(F.col("doc_id") % 2 == 0, "even").otherwise("odd")
+    tables.save_prepared(vectors(spark, sf).withColumn("split", halves), path)
+    return tidy(tables.prepared_report(tables.load_prepared(spark, path), "label", "features"))
+
+
 @query("io05_cached_batches", f"SELECT doc_id, lang, CAST(floor((rank - 1) / 32) AS BIGINT) AS batch_id FROM {ranked()}")
 def _(spark, sf):
     folder = workspace(spark, f"io05/{sf.rstrip("/").rsplit("/", 1)[-1]}")

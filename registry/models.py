@@ -13,7 +13,7 @@ from docloom.operators import classify as c, evaluate as e, features as f, split
 from docloom.plans import experiment, prepare
 from docloom.plans.stages import ShiftFeatures
 from docloom.streaming import scoring
-from registry.common import WORD_TOKENS, docs, in_list, load, query, r, tidy, workspace
+from registry.common import WORD_TOKENS, docs, in_list, labelled, load, query, r, tidy, workspace
 from registry.evaluation import CLASSES, all_preds, rule_sql
 
 
@@ -100,6 +100,14 @@ def _(spark, sf):
     return tidy(c.balanced_weights(docs(spark, sf), "lang"))
 
 
+@query("m06_weighted_rows", f"""
+WITH b AS (SELECT doc_id, CAST(quality AS BIGINT) AS quality FROM documents LEFT JOIN labels USING (doc_id)),
+n AS (SELECT quality, count(*) AS n FROM b GROUP BY quality)
+SELECT doc_id, b.quality, {r('(SELECT sum(n) FROM n) / CAST((SELECT count(*) FROM n) * n AS DOUBLE)')} AS weight FROM b JOIN n ON b.quality IS NOT DISTINCT FROM n.quality""")
+def _(spark, sf):
+    return tidy(c.with_balanced_weights(labelled(spark, sf).select("doc_id", "quality"), "quality"))
+
+
 @query("m09_fit_report")
 def _(spark, sf):
     d = weighted(spark, sf)

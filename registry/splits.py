@@ -33,6 +33,15 @@ def _(spark, sf):
     return s.add_split(docs(spark, sf).select("doc_id", "lang", "text"), label="lang")
 
 
+@query("d01_split_missing_labels", """
+WITH b AS (SELECT doc_id, CAST(quality AS BIGINT) AS quality FROM documents LEFT JOIN labels USING (doc_id)),
+k AS (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY md5(concat(CAST(doc_id AS VARCHAR), ':42')), doc_id) AS rank, count(*) OVER (PARTITION BY quality) AS n FROM b),
+t AS (SELECT *, round(n * CAST(0.15 AS DOUBLE)) AS t FROM k)
+SELECT doc_id, quality, CASE WHEN rank <= t THEN 'test' WHEN rank <= t + round((n - t) * (0.15 / 0.85)) THEN 'val' ELSE 'train' END AS split FROM t""")
+def _(spark, sf):
+    return tidy(s.add_split(labelled(spark, sf).select("doc_id", "quality"), label="quality"))
+
+
 @query("d02_label_encoding", """
 WITH i AS (SELECT lang, CAST(row_number() OVER (ORDER BY lang) - 1 AS DOUBLE) AS label_index FROM (SELECT DISTINCT lang FROM documents))
 SELECT doc_id, lang, label_index, lang AS predicted_label FROM documents JOIN i USING (lang)""")
