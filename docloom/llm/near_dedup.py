@@ -191,7 +191,7 @@ def links(docs: DataFrame, nodes: DataFrame, words: int, percent: int, text: str
     labels = spark.createDataFrame([], "node long, label long")
     state = members.withColumn("label", F.col("node"))
     for turn in range(STARS):
-        rank = F.struct(F.xxhash64("node", F.lit(turn), *([F.col("bucket")] if turn else [])).alias("h"), F.col("node").alias("u"), F.col("label").alias("lu"))
+        rank = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("u"), F.col("label").alias("lu"))
         heads = state.groupBy("bucket").agg(F.min(rank).alias("head"), F.min("label").alias("a"), F.max("label").alias("b")).where("a < b")
         stars = (state.join(heads.select("bucket", "head.u", "head.lu"), "bucket").where("label <> lu")
                  .select(F.least("node", "u").alias("u"), F.greatest("node", "u").alias("v")).distinct())
