@@ -19,7 +19,6 @@ empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,15 +26,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from docloom.llm.common import Memo, guarded, settle
+from docloom.llm.common import guarded, settle
 from docloom.llm.components import connected
 
 GROUPS, ROWS = 24, 4
 SKETCH = 2048
 PERCENT = 80
 STARS = 2
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 M1, M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
@@ -57,17 +54,16 @@ class Shingler:
         self.flips = draw.integers(0, 2**63, n, dtype=np.uint64)
         self.weights = draw.integers(0, 2**63, max(words, rows), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.slots = mixed(np.arange(1, 2 * groups + 1, dtype=np.uint64))
-        self.hashes = Memo(lambda w: xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 7))
 
     def shingles(self, text: str | None) -> np.ndarray:
         """Sorted distinct hashes."""
-        found = WORD.findall(text.translate(LOWER) if text and not text.islower() else text) if text else []
+        # bytes: lower() changes A-Z only, split() cuts at exactly [\x20\x09-\x0D]
+        found = text.encode("utf-8", "surrogatepass").lower().split() if text else []
         if not found:
             return np.empty(0, np.uint64)
         if len(found) < self.words:
-            return np.array([xxhash.xxh64_intdigest(" ".join(found).encode("utf-8", "surrogatepass"), 11)], np.uint64)
-        hashes = self.hashes
-        h = mixed(np.array([hashes[w] for w in found], np.uint64))
+            return np.array([xxhash.xxh64_intdigest(b" ".join(found), 11)], np.uint64)
+        h = mixed(np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found)))
         n = len(h) - self.words + 1
         total = np.zeros(n, np.uint64)
         for k in range(self.words):
