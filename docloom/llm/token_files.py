@@ -29,6 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -38,6 +39,8 @@ FRAME_IDS = 1 << 16
 FILE_BYTES = 16 << 20
 SKIPPABLE = 0x184D2A5E
 MAGIC = b"DLTOK1\n"
+#: Fixed value: how the vocabulary cuts lower-cased text; white space is dropped.
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 HEAD = struct.Struct("<IIII")
 FRAME = struct.Struct("<QIII")
 DOC = struct.Struct("<QQ")
@@ -102,9 +105,11 @@ def unpack(data: bytes, wanted: set[int] | None = None) -> Iterator[tuple[int |
 
 
 class WordEncoder:
-    """Ids by the tokenizers library, asked once for each distinct stretch between spaces.
+    """Ids by the tokenizers library, asked once for each distinct piece of text.
 
-    The vocabulary's rules drop white space and never look past it, so the stretches of a text are independent.
+    The vocabulary's rules drop white space and never look past it, so the stretches between spaces are independent. They cut what
+    is left into pieces by ``PIECES``, each with ids of its own. Where lower-casing and composing characters is the same for a piece as for the
+    stretch, that is in Latin-1 without added tokens, the library is asked for pieces, of which there are fewer; else for the stretch.
     """
 
     def __init__(self, path: str):
@@ -114,10 +119,23 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.units = Memo(self.encode_unit)
+        self.units = Memo(self.encode_unit, 200_000)
+        self.pieces = Memo(self.ask)
+
+    def ask(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def encode_unit(self, unit: str) -> bytes:
-        return np.array(self.tokenizer.encode(unit, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if unit.isalpha() and unit.isascii():
+            return self.pieces[unit.lower()]
+        try:
+            unit.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.ask(unit)
+        if "<|" in unit:
+            return self.ask(unit)
+        pieces = self.pieces
+        return b"".join([pieces[p] for p in PIECES.findall(unit.lower())])
 
     def encode(self, text: str | None) -> bytes:
         units = self.units
