@@ -228,6 +228,22 @@ def test_equal_articles_are_no_template():
     assert all(wrappers.main_text(p, spec) == "T\nbody" for p in pages)
 
 
+def extracted(spark, htmls):
+    rows = [(k, f"http://h.example/{k}", h) for k, h in enumerate(htmls)]
+    return [r["text"] for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+
+
+def test_all_pages_of_a_host_vote_and_layouts_stay_apart(spark):
+    teasers = "<div class='list'><p>Teaser {0} a</p><p>Teaser {0} b</p></div>"
+    lists = [f"<body><div>All stories</div>{teasers.format(k)}</body>" for k in range(12)]
+    articles = [f"<body><div class='list'><p>More {k}</p></div><article><h1>Title {k}</h1><p>Body {k}</p></article></body>" for k in range(4)]
+    plain = [f"<body><div>Our site</div><div class='story'><p>Tale {k}</p><p>{'Same start' if k < 2 else f'Start {k}'}</p></div><div>Write to us</div></body>" for k in range(6)]
+    got = extracted(spark, lists + articles + plain)
+    assert got[:12] == [f"Teaser {k} a\nTeaser {k} b" for k in range(12)]
+    assert got[12:16] == [f"Title {k}\nBody {k}" for k in range(4)]
+    assert got[16:] == [f"Tale {k}\n{'Same start' if k < 2 else f'Start {k}'}" for k in range(6)]
+
+
 def test_tree_matching_counts_the_largest_mapping():
     a, b = wrappers.parse("<ul><li>1<li>2<li>3</ul><p>x"), wrappers.parse("<ul><li>1<li>3</ul><div></div><p>y")
     size, pairs = wrappers.match(a, b)
