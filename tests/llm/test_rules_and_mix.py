@@ -244,6 +244,16 @@ def test_all_pages_of_a_host_vote_and_layouts_stay_apart(spark):
     assert got[16:] == [f"Tale {k}\n{'Same start' if k < 2 else f'Start {k}'}" for k in range(6)]
 
 
+def test_template_texts_inside_articles_are_left_out(spark):
+    body = lambda k: f"<article><h1>Title {k}</h1><p>{f'Body {k} of the story. ' * 6}</p><p>Subscribe to our newsletter</p></article>"
+    pages = [f"<body><div>nav {k}</div>{body(k % 6)}</body>" for k in range(20)]
+    for k, text in enumerate(extracted(spark, pages)):
+        assert text == f"Title {k % 6}\n{(f'Body {k % 6} of the story. ' * 6).strip()}"
+    near = [f"<body><article><p>{'One long story told again and again. ' * 9}</p><p>Version {k}</p></article></body>" for k in range(8)]
+    assert all(t.endswith(f"again.\nVersion {k}") for k, t in enumerate(extracted(spark, near)))
+    assert [wrappers.main_text(p, wrappers.induce(pages)) for p in pages] == extracted(spark, pages)
+
+
 def test_tree_matching_counts_the_largest_mapping():
     a, b = wrappers.parse("<ul><li>1<li>2<li>3</ul><p>x"), wrappers.parse("<ul><li>1<li>3</ul><div></div><p>y")
     size, pairs = wrappers.match(a, b)
