@@ -2,7 +2,8 @@
 
 Method: balanced label propagation. Every document starts in a shard chosen by a hash. In each round a Spark aggregate
 counts, per group of linked documents, its members in each shard; a join moves members towards the shard where most of
-their neighbours are, as far as the shard's quota of linked documents has room. What is linked are documents of equal text; a cut edge is a pair of neighbours
+their neighbours are, as far as the shard has room or gives up as many in the same round. Rounds go on until the documents outside
+their unit's shard no longer fall. What is linked are documents of equal text; a cut edge is a pair of neighbours
 in different shards. Groups of more than ``1 / UNITS_PER_SHARD`` of a shard are cut into units by a hash of ``doc_id``,
 so that no group exceeds a shard or a task; the units of one group start towards common shards.
 
@@ -24,7 +25,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from docloom.llm.common import blank_text, dense_positions, guarded, settle
 
 SHARDS = 24
-ROUNDS = 4
+#: Propagation has converged after so many rounds in a row without a fall.
+PATIENCE = 2
 UNITS_PER_SHARD = 8
 SLICE_ROWS = 2_000
 
@@ -48,47 +50,70 @@ def linked_units(rows: DataFrame, shards: int, total: int) -> DataFrame:
     return rows.join(groups, "sha").select("rid", F.xxhash64("sha", part).alias("unit"), lean.alias("seed"), (parts > 1).alias("split"))
 
 
-def propagate(members: DataFrame, shards: int, quotas: list[int], rounds: int = ROUNDS) -> DataFrame:
-    """Moves members (``rid, unit, seed, split, shard``) towards their neighbours' shards; returns the same columns.
+def admitted(room: list[int], flows: dict[tuple[int, int], int]) -> list[float]:
+    """Per shard, the largest share of its wishes that can be let in at once: inflow is at most room plus the outflow let in elsewhere.
 
-    A unit's wish is the shard with most of its members; ties go to the shard it leans to, then to the one with more room. In the first round,
-    units of a group with several wish for where they lean, as neighbours lean there too. A full
-    shard is wished for only by units that are in it. Of those who wish into a shard with too little room, a hash of unit and
-    round lets in the share that fits, whole units at a time.
+    ``flows`` has the rows that wish from one shard into another. All shares begin at 1 and fall until none takes in too much.
     """
-    for turn in range(rounds):
+    asked = [sum(n for (_, to), n in flows.items() if to == s) for s in range(len(room))]
+    share = [1.0] * len(room)
+    while True:
+        out = [sum(n * share[to] for (at, to), n in flows.items() if at == s) for s in range(len(room))]
+        lower = [min(x, max(0.0, (room[s] + out[s]) / asked[s])) if asked[s] else x for s, x in enumerate(share)]
+        if all(x - y < 1e-4 for x, y in zip(share, lower)):
+            return lower
+        share = lower
+
+
+def propagate(members: DataFrame, shards: int, quotas: list[int]) -> DataFrame:
+    """Moves members (``rid, unit, seed, split, shard``) towards their neighbours' shards until it converges; returns the same columns.
+
+    A unit that is in several shards wishes for the one with most of its members; ties go to the shard it leans to, then to a hash of the round. In
+    the first round, units of a group with several wish for where they lean, as neighbours lean there too. From the second on, chance weighs more
+    with every round, and a shard drawn by hash is a choice as well, so that who was turned away tries elsewhere. A full shard takes in as much as
+    leaves it in the same round (``admitted``). A hash of unit and round lets in the share that fits, whole units at a time.
+    """
+    turn, least, still = 0, None, 0
+    unit = Window.partitionBy("unit")
+    while still < PATIENCE:
         load = {r["shard"]: r["n"] for r in members.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
-        room = [max(0, quotas[s] - load.get(s, 0)) for s in range(shards)]
-        spare = F.element_at(F.array(*[F.lit(float(r)) for r in room]), F.col("shard") + 1)
+        room = [quotas[s] - load.get(s, 0) for s in range(shards)]
         cells = members.groupBy("unit", "seed", "split", "shard").agg(F.count(F.lit(1)).alias("n"))
-        score = F.col("n")
         if turn == 0:  # a unit may gather where it leans to even if none of it is there yet
-            lean = cells.select("unit", "seed", "split", F.col("seed").alias("shard")).distinct().withColumn("n", F.lit(0).cast("long"))
-            cells = cells.unionByName(lean).groupBy("unit", "seed", "split", "shard").agg(F.sum("n").alias("n"))
-            score = F.when(F.col("split") & (F.col("shard") == F.col("seed")), F.lit(1 << 60)).otherwise(F.col("n"))
-        likes = F.struct(F.when(spare > 0, F.lit(1)).otherwise(0).alias("open"), score.alias("score"), (F.col("shard") == F.col("seed")).cast("int").alias("lean"),
-                         spare.alias("room"), F.col("shard").alias("to"))
-        unit = Window.partitionBy("unit")
-        cells = cells.withColumn("wish", F.max(likes).over(unit)["to"]).withColumn("open", F.max(likes).over(unit)["open"])
-        moves = settle(cells.where("n > 0 AND wish <> shard AND open = 1").select("unit", "shard", "wish", "n"), f"shard-moves-{turn}")
-        asked = {r["wish"]: r["n"] for r in moves.groupBy("wish").agg(F.sum("n").alias("n")).collect()}
-        if not asked:
+            extra, score = F.col("seed"), F.when(F.col("split") & (F.col("shard") == F.col("seed")), F.lit(float(1 << 60))).otherwise(F.col("n").cast("double"))
+        else:
+            extra = F.pmod(F.xxhash64("unit", F.lit(turn), F.lit(7)), F.lit(shards)).cast("int")
+            score = F.col("n") + turn * F.pmod(F.xxhash64("unit", "shard", F.lit(turn)), F.lit(1 << 20)) / float(1 << 20)
+        more = cells.select("unit", "seed", "split", extra.alias("shard")).distinct().withColumn("n", F.lit(0).cast("long"))
+        cells = cells.unionByName(more).groupBy("unit", "seed", "split", "shard").agg(F.sum("n").alias("n"))
+        cells = cells.withColumn("away", F.sum("n").over(unit) - F.max("n").over(unit))
+        if turn:
+            cells = cells.where("away > 0")
+        likes = F.struct(score.alias("score"), (F.col("shard") == F.col("seed")).cast("int").alias("lean"),
+                         F.xxhash64("unit", "shard", F.lit(turn)).alias("draw"), F.col("shard").alias("to"))
+        wishes = settle(cells.withColumn("wish", F.max(likes).over(unit)["to"]).where("n > 0").select("unit", "shard", "wish", "n", "away"), f"shard-wishes-{turn}")
+        flows = {(r["shard"], r["wish"]): r["n"] for r in wishes.where("shard <> wish").groupBy("shard", "wish").agg(F.sum("n").alias("n")).collect()}
+        cut = wishes.groupBy("unit").agg(F.max("away").alias("away")).agg(F.sum("away")).first()[0] or 0
+        still = 0 if least is None or cut < least else still + 1
+        least = cut if least is None else min(cut, least)
+        if not flows or still == PATIENCE:
             break
-        share = [min(1.0, room[s] / asked[s]) if s in asked else 0.0 for s in range(shards)]
+        share = admitted(room, flows)
         let_in = F.pmod(F.xxhash64("unit", F.lit(turn)), F.lit(1 << 30)) / float(1 << 30) < F.element_at(F.array(*[F.lit(x) for x in share]), F.col("wish") + 1)
-        chosen = moves.where(let_in).select("unit", "shard", "wish")
+        chosen = wishes.where(let_in).where("shard <> wish").select("unit", "shard", "wish")
         members = settle(members.join(chosen, ["unit", "shard"], "left").withColumn("shard", F.coalesce("wish", "shard")).drop("wish"), f"shard-round-{turn}")
+        turn += 1
     return members
 
 
-def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def balanced_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """One row per document: ``doc_id, size, text_crc32, law, shard, slot, grown_shard``; ``linked`` tells whether its text has copies."""
     rows = facts(docs)
     total = rows.count()
     share = [total // shards + (s < total % shards) for s in range(shards)]
     start = F.pmod(F.xxhash64("rid", F.lit(1)), F.lit(shards)).cast("int")
     members = settle(linked_units(rows, shards, total).withColumn("shard", start), "shard-members")
-    moved = propagate(members, shards, share, rounds).select("rid", F.col("shard").alias("_moved"), "unit")
+    moved = propagate(members, shards, share).select("rid", F.col("shard").alias("_moved"), "unit")
     placed = rows.join(moved, "rid", "left").select(
         "rid", "doc_id", "size", "text_crc32", F.coalesce("_moved", start).alias("shard"), F.col("unit").isNotNull().alias("linked"),
         F.coalesce("unit", F.xxhash64("rid", F.lit(2))).alias("_mix"))

@@ -168,6 +168,17 @@ def test_sharding_hot_group_and_awkward(spark):
     assert sharding.balanced_shards(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("copies", [2, 5])
+def test_sharding_keeps_groups_whole_where_every_row_is_linked(spark, copies):
+    docs = spark.range(9600).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), (F.col("id") % (9600 // copies)).cast("string")).alias("text"))
+    rows = sharding.balanced_shards(docs).collect()
+    check_shards(docs, rows)
+    where = defaultdict(set)
+    for r in rows:
+        where[r["text_crc32"]].add(r["shard"])
+    assert sum(len(v) == 1 for v in where.values()) >= 0.95 * len(where)
+
+
 LICENSE_LINES = ["Licensed under CC BY 4.0, all RIGHTS reserved", "this work is licensed under the GNU general public license version 3",
                  "Released under the MIT License.", "MIT License the under Released", "cc", "cc by cc by", "all rights\nreserved", "ALL-RIGHTS-RESERVED"]
 
