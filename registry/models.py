@@ -66,7 +66,7 @@ def _(spark, sf):
 @query("m02_logistic_regression")
 def _(spark, sf):
     d = weighted(spark, sf)
-    return predictions(c.logistic_regression(d.count(), max_iter=100).fit(d), d)
+    return predictions(c.logistic_regression(d.count(), max_iter=1000).fit(d), d)
 
 
 @query("m03_calibrated_svm")

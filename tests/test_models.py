@@ -181,3 +181,13 @@ def test_long_texts_are_used_whole(spark):
     rows = spark.createDataFrame([(i, long if i % 2 else "other text here", "ab"[i % 2]) for i in range(20)], "doc_id long, text string, label string")
     model = prepare.fit_text_features(rows, max_df=1.0)
     assert "lastword" in prepare.vocabulary_of(model)
+
+
+def test_registered_logistic_regression_has_the_reference_iterations(spark, sf, monkeypatch):
+    from registry import models as registered
+    from registry.common import QUERIES
+
+    asked, fit = [], registered.c.logistic_regression
+    monkeypatch.setattr(registered.c, "logistic_regression", lambda *a, **k: asked.append(k["max_iter"]) or fit(*a, **k))
+    QUERIES["m02_logistic_regression"](spark, sf).collect()
+    assert asked == [1000]
