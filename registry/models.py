@@ -128,7 +128,7 @@ def _(spark, sf):
 @query("m11_confidence")
 def _(spark, sf):
     d = weighted(spark, sf)
-    model = c.logistic_regression(d.count(), max_iter=50).fit(d)
+    model = c.logistic_regression(d.count(), max_iter=1000).fit(d)
     return tidy(c.predict(model, d).select("doc_id", F.size("probability").alias("classes"), "confidence"), 4)
 
 

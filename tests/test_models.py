@@ -183,11 +183,12 @@ def test_long_texts_are_used_whole(spark):
     assert "lastword" in prepare.vocabulary_of(model)
 
 
-def test_registered_logistic_regression_has_the_reference_iterations(spark, sf, monkeypatch):
+@pytest.mark.parametrize("name", ["m02_logistic_regression", "m11_confidence"])
+def test_registered_logistic_regression_has_the_reference_iterations(spark, sf, monkeypatch, name):
     from registry import models as registered
     from registry.common import QUERIES
 
     asked, fit = [], registered.c.logistic_regression
     monkeypatch.setattr(registered.c, "logistic_regression", lambda *a, **k: asked.append(k["max_iter"]) or fit(*a, **k))
-    QUERIES["m02_logistic_regression"](spark, sf).collect()
+    QUERIES[name](spark, sf).collect()
     assert asked == [1000]
