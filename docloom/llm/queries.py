@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docloom.llm import bpe, dedup, licenses, mix, near_dedup, quality, sharding, sql, substrings, token_files, wrappers
+from docloom.llm import bpe, dedup, licenses, mix, near_dedup, nearest, quality, sharding, spelling, sql, substrings, token_files, whitening, wrappers
 from docloom.llm.common import load, new_folder, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,25 @@ FROM k LEFT JOIN v ON v.doc_id = k.doc_id""")
 def op8(spark, sf):
     rows = substrings.remove_repeats(load(spark, sf, "documents"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_embedding_whitening")
+def op11(spark, sf):
+    rows = whitening.whiten(load(spark, sf, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@query("op12_exact_top_k", r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT q.vec_id AS query_id, d.vec_id, CAST(list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * d.x[i])) AS BIGINT) AS score
+  FROM v AS q JOIN v AS d ON q.vec_id <> d.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""")
+def op12(spark, sf):
+    return nearest.top_neighbours(load(spark, sf, "embeddings"))
+
+
+@query("op13_spelling_variants")
+def op13(spark, sf):
+    return spelling.variants(load(spark, sf, "documents"))
