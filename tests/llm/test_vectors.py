@@ -90,8 +90,8 @@ def top_by_hand(rows, d, k, every, scale=64):
     out = []
     for a, (i, q) in enumerate(good):
         if i is not None and i % every == 0:
-            scored = sorted(((-sum(x * y for x, y in zip(q, v)), j is None, j or 0, j) for b, (j, v) in enumerate(good) if b != a))[:k]
-            out += [(i, r + 1, j, -s) for r, (s, _, _, j) in enumerate(scored)]
+            scored = sorted(((max(min(-sum(x * y for x, y in zip(q, v)), 2**63 - 1), 1 - 2**63), j is None, j or 0, j) for b, (j, v) in enumerate(good) if b != a))[:k]
+            out += [(i, r + 1, j, max(min(-s, 2**63 - 1), 1 - 2**63)) for r, (s, _, _, j) in enumerate(scored)]
     return sorted(out, key=str)
 
 
