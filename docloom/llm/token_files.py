@@ -22,6 +22,7 @@ Defined cases: null text counts as empty (only the end id); a null ``doc_id`` co
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
@@ -29,18 +30,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from docloom.llm.common import Memo, guarded, settle
+from docloom.llm.common import guarded, settle
 
 FRAME_IDS = 1 << 16
 FILE_BYTES = 16 << 20
 SKIPPABLE = 0x184D2A5E
 MAGIC = b"DLTOK1\n"
-#: Fixed value: how the vocabulary cuts lower-cased text; white space is dropped.
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: How the vocabulary cuts lower-cased text, written out for Latin-1; white space is dropped.
+LETTERS, NUMBERS, BLANKS = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t\n\x0b\x0c\r \x85\xa0"
+PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{BLANKS}{LETTERS}{NUMBERS}]+")
 HEAD = struct.Struct("<IIII")
 FRAME = struct.Struct("<QIII")
 DOC = struct.Struct("<QQ")
@@ -104,42 +105,72 @@ def unpack(data: bytes, wanted: set[int] | None = None) -> Iterator[tuple[int |
                 yield doc_id, ids[end - int(sizes[i]):end]
 
 
+def is_plain(text: str) -> bool:
+    """Whether lower-casing and composing characters is the same for a text's pieces as for the text: Latin-1 without added tokens."""
+    if "<|" in text:
+        return False
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class WordEncoder:
     """Ids by the tokenizers library, asked once for each distinct piece of text.
 
-    The vocabulary's rules drop white space and never look past it, so the stretches between spaces are independent. They cut what
-    is left into pieces by ``PIECES``, each with ids of its own. Where lower-casing and composing characters is the same for a piece as for the
-    stretch, that is in Latin-1 without added tokens, the library is asked for pieces, of which there are fewer; else for the stretch.
+    The vocabulary's rules drop white space and never look past it. They cut the rest into pieces by ``PIECES``, each with ids of its own, which the
+    library's model is asked for. A text that is not plain is taken apart at its spaces, and the library is asked for each stretch that
+    is not plain as a whole. Pieces are remembered in two generations: above ``HELD`` the older one, and what was not asked for since, is forgotten.
     """
 
+    HELD = 300_000
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.units = Memo(self.encode_unit, 200_000)
-        self.pieces = Memo(self.ask)
-
-    def ask(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def encode_unit(self, unit: str) -> bytes:
-        if unit.isalpha() and unit.isascii():
-            return self.pieces[unit.lower()]
-        try:
-            unit.encode("latin-1")
-        except UnicodeEncodeError:
-            return self.ask(unit)
-        if "<|" in unit:
-            return self.ask(unit)
-        pieces = self.pieces
-        return b"".join([pieces[p] for p in PIECES.findall(unit.lower())])
+        self.model = self.tokenizer.model
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelling = {c: spell.pre_tokenize_str(chr(c))[0][0] for c in range(256)}
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def ask(self, key: str) -> bytes:
+        """Ids of a piece, or of a whole stretch, whose key starts with a space."""
+        if key[0] == " ":
+            return np.array(self.tokenizer.encode(key[1:], add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return np.array([t.id for t in self.model.tokenize(key.translate(self.spelling))], dtype="<u4").tobytes()
+
+    @staticmethod
+    def keys(text: str | None) -> list[str]:
+        if not text:
+            return []
+        if is_plain(text):
+            return PIECES.findall(text.lower())
+        out = []
+        for unit in text.split(" "):
+            out += PIECES.findall(unit.lower()) if is_plain(unit) else [" " + unit]
+        return out
+
+    def encode_batch(self, texts: Sequence[str | None]) -> list[bytes]:
+        """Ids of the texts as little-endian unsigned 32-bit integers."""
+        rows = [self.keys(t) for t in texts]
+        known, old = self.known, self.old
+        for row in rows:
+            for key in {k for k in row if k not in known}:
+                found = old.get(key)
+                known[key] = self.ask(key) if found is None else found
+        out = [b"".join([known[k] for k in row]) for row in rows]
+        if len(known) > self.HELD:
+            self.old, self.known = known, {}
+        return out
 
     def encode(self, text: str | None) -> bytes:
-        units = self.units
-        return b"".join([units[u] for u in text.split(" ")]) if text else b""
+        return self.encode_batch([text])[0]
 
 
 @lru_cache(maxsize=2)
@@ -164,8 +195,8 @@ def write_files(df: DataFrame, folder: str, path: str, end_id: int = 1, text: st
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                for doc_id, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = np.frombuffer(encoder(path).encode(t) + end, dtype="<u4")
+                for doc_id, found in zip(part.column(0).to_pylist(), encoder(path).encode_batch(part.column(1).to_pylist())):
+                    ids = np.frombuffer(found + end, dtype="<u4")
                     docs.append((doc_id, ids))
                     held += 2 * len(ids) + 16
                     if held >= file_bytes:
