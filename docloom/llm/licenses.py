@@ -1,15 +1,16 @@
 """License scans (operator 4).
 
-Method: exact set-similarity join of text blocks with license templates. Tokens are ordered by their frequency over the
-whole corpus, rare first. A block meets a template when it holds at least ``threshold`` of the template's distinct tokens. Then
+Method: exact set-similarity join of text blocks with license templates. A block is a rolling window of as many words as a template
+has, across line ends. Tokens are ordered by their frequency over the whole corpus, rare first. A block meets a template when it holds at
+least ``threshold`` of the template's distinct tokens. Then
 
 * prefix filter: of the template's ``n`` tokens, ``need = ceil(threshold * n)`` are in the block, so one of its rarest
-  ``n - need + 1`` tokens is: only blocks with such a token are looked at, by an index from token to (template, position);
-* length filter: a block has at least ``need`` distinct tokens;
-* positional filter: with the first common token at position ``p`` of the template, at most ``n - p`` can be common.
+  ``n - need + 1`` tokens is: only texts with such a token are looked at, by an index from token to templates;
+* length filter: the text has at least ``need`` words, and ``need`` of the template's tokens;
+* positional filter: a window opens at a token of the template, and only while at least ``need`` of them are left behind it.
 
-What passes is verified on the full sets, so the join is exact. A block is a line of the text. Base matches are places where
-the words of a phrase stand consecutively, across lines.
+What passes is verified by counting distinct tokens, so the join is exact. Templates of fewer than ``ORDERED`` words say little as sets:
+their words have to stand in order, one after the other. Base matches are places where the words of a phrase stand consecutively, across lines.
 
 The template side is a parameter of fixed size and is sent to every task; texts are scanned twice, for the token
 counts and for the join, and never shuffled. Counts leave a task as one row per template token.
@@ -28,23 +29,13 @@ from collections.abc import Iterator, Mapping
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from docloom.llm.license_texts import TEMPLATES
+
 THRESHOLD = 0.9
 #: Phrases of the base scan and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: Short license notices in public use, by label.
-TEMPLATES = {
-    "apache": ["Licensed under the Apache License, Version 2.0."],
-    "bsd": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"],
-    "cc-by": ["This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "cc-by-nc": ["Licensed under CC BY-NC 4.0."],
-    "cc-by-sa": ["Licensed under CC BY-SA 4.0."],
-    "gpl": ["This work is licensed under the GNU General Public License, version 3.",
-            "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation."],
-    "mit": ["Released under the MIT License.",
-            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files."],
-    "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
-    "reserved": ["All rights reserved."],
-}
+#: Templates of fewer words are matched as phrases.
+ORDERED = 8
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -53,8 +44,8 @@ def words(text: str) -> list[str]:
     return WORD.findall(text.translate(LOWER))
 
 
-def template_sets(templates: Mapping[str, list[str]] = TEMPLATES) -> list[tuple[str, frozenset[str]]]:
-    return [(label, frozenset(words(t))) for label, texts in sorted(templates.items()) for t in texts]
+def template_words(templates: Mapping[str, list[str]] = TEMPLATES) -> list[tuple[str, list[str]]]:
+    return [(label, words(t)) for label, texts in sorted(templates.items()) for t in texts]
 
 
 def token_counts(docs: DataFrame, tokens: set[str], text: str = "text") -> dict[str, int]:
@@ -75,42 +66,79 @@ def token_counts(docs: DataFrame, tokens: set[str], text: str = "text") -> dict[
 class Index:
     """Templates with their tokens in corpus order, and the prefix index."""
 
-    def __init__(self, templates: list[tuple[str, frozenset[str]]], counts: Mapping[str, int], threshold: float):
-        self.templates, self.prefix = [], {}
-        for k, (label, tokens) in enumerate(templates):
-            order = sorted(tokens, key=lambda w: (counts.get(w, 0), w))
+    def __init__(self, templates: list[tuple[str, list[str]]], counts: Mapping[str, int], threshold: float):
+        self.templates, self.prefix, self.phrases = [], {}, []
+        for label, found in templates:
+            if len(found) < ORDERED:
+                self.phrases.append((label, found))
+                continue
+            order = sorted(set(found), key=lambda w: (counts.get(w, 0), w))
             need = math.ceil(threshold * len(order) - 1e-9)
-            self.templates.append((label, tokens, need))
-            for position, token in enumerate(order[: len(order) - need + 1]):
-                self.prefix.setdefault(token, []).append((k, position))
+            for token in order[: len(order) - need + 1]:
+                self.prefix.setdefault(token, []).append(len(self.templates))
+            self.templates.append((label, frozenset(order), need, len(found)))
         self.rare = frozenset(self.prefix)
-
-    def matches(self, block: frozenset[str]) -> Iterator[tuple[str, float]]:
-        """(label, containment) of the templates that the block meets."""
-        seen: set[int] = set()
-        for token in self.rare & block:
-            for k, position in self.prefix[token]:
-                label, tokens, need = self.templates[k]
-                if k in seen or len(block) < need or len(tokens) - position < need:
-                    continue
-                seen.add(k)
-                common = len(tokens & block)
-                if common >= need:
-                    yield label, common / len(tokens)
+        self.firsts = frozenset(p[0] for _, p in self.phrases)
+
+    def matches(self, text: list[str]) -> list[tuple[int, str, float]]:
+        """(first word, label, containment) of the best window per template that the text meets, the first one on ties."""
+        there, out = set(text), []
+        if not self.firsts.isdisjoint(there):
+            for label, phrase in self.phrases:
+                at = next(places(text, phrase), None) if phrase[0] in there else None
+                if at is not None:
+                    out.append((at, label, 1.0))
+        for k in {k for token in self.rare & there for k in self.prefix[token]}:
+            label, tokens, need, length = self.templates[k]
+            if len(text) < need or len(tokens & there) < need:
+                continue
+            best, at = best_window(text, tokens, length, need)
+            if best >= need:
+                out.append((at, label, best / len(tokens)))
+        return out
+
+
+def places(text: list[str], phrase: list[str]) -> Iterator[int]:
+    """Where the words of ``phrase`` stand one after the other."""
+    at = -1
+    for _ in range(text.count(phrase[0])):
+        at = text.index(phrase[0], at + 1)
+        if text[at:at + len(phrase)] == phrase:
+            yield at
+
+
+def best_window(text: list[str], tokens: frozenset[str], length: int, need: int) -> tuple[int, int]:
+    """Most distinct ``tokens`` in a window of ``length`` words, and the first start of such a window at a token. Linear in the text."""
+    hits = [i for i, w in enumerate(text) if w in tokens]
+    held: dict[str, int] = {}
+    best, at, end = 0, -1, 0
+    for k, i in enumerate(hits):
+        if len(hits) - k < need:
+            break
+        while end < len(hits) and hits[end] < i + length:
+            w = text[hits[end]]
+            held[w] = held.get(w, 0) + 1
+            end += 1
+        if len(held) > best:
+            best, at = len(held), i
+        held[text[i]] -= 1
+        if not held[text[i]]:
+            del held[text[i]]
+    return best, at
 
 
 def scan(docs: DataFrame, templates: Mapping[str, list[str]] = TEMPLATES, threshold: float = THRESHOLD,
          phrases: Mapping[str, str] = PHRASES, text: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score`` and ``blocks``.
 
-    ``blocks`` lists the matched lines as (line from 0, label, containment); ``score`` is the highest containment, 1 with a base match.
+    ``blocks`` lists the best window of each template found as (first word from 0, label, containment); ``score`` is the highest containment, 1 with a base match.
     """
-    sets = template_sets(templates)
-    counts = token_counts(docs, set().union(*[s for _, s in sets]), text)
+    known = template_words(templates)
+    counts = token_counts(docs, set().union(*[w for _, w in known]), text)
     wanted = [(p.split(), label) for p, label in phrases.items()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(sets, counts, threshold)
+        index = Index(known, counts, threshold)
         firsts = {p[0] for p, _ in wanted}
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
@@ -121,31 +149,23 @@ def scan(docs: DataFrame, templates: Mapping[str, list[str]] = TEMPLATES, thresh
                     [part.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=["doc_id", *names])
 
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "blocks"]
-    block = pa.struct([("line", pa.int64()), ("label", pa.string()), ("containment", pa.float64())])
+    block = pa.struct([("word", pa.int64()), ("label", pa.string()), ("containment", pa.float64())])
     kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.list_(block)]
 
     def one(t: str, index: Index, firsts: set[str]):
-        line_words = [words(line) for line in t.split("\n")]
-        all_words = [w for line in line_words for w in line]
+        found = words(t)
         starts, base = [], set()
-        if not firsts.isdisjoint(all_words):
+        if not firsts.isdisjoint(found):
             for phrase, label in wanted:
-                at = -1
-                for _ in range(all_words.count(phrase[0])):
-                    at = all_words.index(phrase[0], at + 1)
-                    if all_words[at:at + len(phrase)] == phrase:
-                        starts.append(at)
-                        base.add(label)
-        blocks = []
-        if not index.rare.isdisjoint(all_words):
-            for n, line in enumerate(line_words):
-                if not index.rare.isdisjoint(line):
-                    blocks += [{"line": n, "label": label, "containment": c} for label, c in index.matches(frozenset(line))]
+                for at in places(found, phrase):
+                    starts.append(at)
+                    base.add(label)
+        blocks = [{"word": at, "label": label, "containment": c} for at, label, c in index.matches(found)]
         labels = base | {b["label"] for b in blocks}
         score = 1.0 if base else max([0.0, *(b["containment"] for b in blocks)])
-        return (len(all_words), len(starts), min(starts, default=None), max(starts, default=None),
-                ",".join(sorted(base)), ",".join(sorted(labels)), score, sorted(blocks, key=lambda b: (b["line"], b["label"])))
+        return (len(found), len(starts), min(starts, default=None), max(starts, default=None),
+                ",".join(sorted(base)), ",".join(sorted(labels)), score, sorted(blocks, key=lambda b: (b["word"], b["label"], b["containment"])))
 
     schema = ("doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, "
-              "blocks array<struct<line: long, label: string, containment: double>>")
+              "blocks array<struct<word: long, label: string, containment: double>>")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text)).mapInArrow(run, schema)

@@ -6,10 +6,13 @@ bin. Sketches merge by adding counts, so each task sends its bins only, a group
 few hundred rows per task, and the sketches of a language, and of the whole corpus, are sums of those per source. They
 are exact in rank, have no seed and give the same thresholds on every run.
 
-A document fails a rule when its value lies above the fence ``q75 + reach * (q75 - q25) + slack`` of its group. A group with
-fewer than ``MIN_GROUP`` documents takes its language's sketch, a small language the corpus sketch. The rules look at
-what marks machine junk: symbols per character, duplicate lines, repeated words and mean word length. ``slack`` is the
-width that ordinary prose varies by in any case, so that a group of uniform, clean documents loses none.
+Thresholds follow the sketches in two steps. The corpus sketch gives a range per rule, ``q75 + REACH * (q75 - q25) + tolerance`` at the top (and the
+same below ``q25`` where a rule has a lower end), in which values can be ordinary at all. The sketches of each language and source, cut to that
+range, then give their own fence: ``q50 + TAIL * (q99 - q50) + slack``, and never beyond the range. So a fence lies where the ordinary documents of its own
+group end, and junk cannot raise it, be it a third of a source, as long as it is no quarter of the corpus. Fences of small groups are drawn
+towards those of their language, and these towards the corpus: a group of ``n`` documents counts ``n / (n + MIN_GROUP)``. The rules look at
+what marks machine junk: symbols per character, duplicate lines, repeated words and mean word length. Sketches hold the documents that pass
+the base rule.
 
 Native: DataFrame functions only, no shuffle of texts.
 
@@ -29,12 +32,13 @@ MIN_GROUP = 200
 GROWTH = 1.01
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: rule -> (value per document, reach in quartile ranges, slack)
-RULES: dict[str, tuple[str, float, float]] = {
-    "symbol_ratio": ("n_symbols / greatest(word_chars, 1)", 6.0, 0.08),
-    "dup_line_ratio": ("n_dup_lines / greatest(n_lines, 1)", 6.0, 0.50),
-    "repeat_ratio": ("n_repeat_words / greatest(n_words, 1)", 6.0, 0.35),
-    "mean_word": ("word_chars / greatest(n_words, 1)", 6.0, 6.0),
+REACH, TAIL = 6.0, 1.5
+#: rule -> (value per document, tolerance of the range, slack of a fence, whether it has a lower end)
+RULES: dict[str, tuple[str, float, float, bool]] = {
+    "symbol_ratio": ("n_symbols / greatest(word_chars, 1)", 0.08, 0.01, False),
+    "dup_line_ratio": ("n_dup_lines / greatest(n_lines, 1)", 0.50, 0.05, False),
+    "repeat_ratio": ("n_repeat_words / greatest(n_words, 1)", 0.35, 0.05, False),
+    "mean_word": ("word_chars / greatest(n_words, 1)", 0.25, 0.25, True),
 }
 #: Values are scaled by this before binning, so that ratios and word lengths use the bins alike.
 UNIT = 1000.0
@@ -104,43 +108,73 @@ def sketches(values: DataFrame) -> DataFrame:
             .unionByName(overall.select(F.lit(0).alias("level"), none.alias("lang"), none.alias("source"), "rule", "bin", "n")))
 
 
-def fences(bins: DataFrame) -> DataFrame:
-    """Per level, lang, source: number of documents ``n_docs`` and a fence per rule, from the sketch quartiles."""
-    keys = ["level", "lang", "source", "rule"]
+def bin_value() -> Column:
+    """Upper end of a bin."""
+    return F.expm1(F.col("bin") * math.log(GROWTH)) / UNIT
+
+
+def quantiles(bins: DataFrame, keys: list[str], **shares: float) -> DataFrame:
+    """Quantiles of the sketches per ``keys``, and their number of values ``n_docs``."""
     group = Window.partitionBy(*keys)
     ranked = bins.withColumn("_to", F.sum("n").over(group.orderBy("bin"))).withColumn("_all", F.sum("n").over(group))
-    value = F.expm1(F.col("bin") * math.log(GROWTH)) / UNIT
-    quarter = lambda q: F.min(F.when(F.col("_to") >= q * F.col("_all"), value))
-    quartiles = ranked.groupBy(*keys).agg(quarter(0.25).alias("q25"), quarter(0.75).alias("q75"), F.max("_all").alias("n_docs"))
-    fence = F.lit(None).cast("double")
-    for rule, (_, reach, slack) in RULES.items():
-        fence = F.when(F.col("rule") == rule, F.col("q75") + reach * (F.col("q75") - F.col("q25")) + slack).otherwise(fence)
-    per_rule = [F.max(F.when(F.col("rule") == r, F.col("_fence"))).alias(f"{r}_fence") for r in RULES]
-    return quartiles.withColumn("_fence", fence).groupBy("level", "lang", "source").agg(F.max("n_docs").alias("n_docs"), *per_rule)
+    picks = [F.min(F.when(F.col("_to") >= q * F.col("_all"), bin_value())).alias(name) for name, q in shares.items()]
+    return ranked.groupBy(*keys).agg(*picks, F.max("_all").alias("n_docs"))
+
+
+def of_rule(index: int) -> Column:
+    """A number of the row's rule."""
+    out = F.lit(None).cast("double")
+    for rule, numbers in RULES.items():
+        out = F.when(F.col("rule") == rule, F.lit(float(numbers[index]))).otherwise(out)
+    return out
+
+
+def fences(bins: DataFrame) -> DataFrame:
+    """Per level, lang, source: number of documents ``n_docs`` and the fences of its own sketches, ``<rule>_high`` and ``<rule>_low``."""
+    corpus = quantiles(bins.where("level = 0"), ["rule"], q25=0.25, q75=0.75)
+    reach = REACH * (F.col("q75") - F.col("q25")) + of_rule(1)
+    ends = corpus.select(F.col("rule").alias("_rule"), (F.col("q75") + reach).alias("_top"),
+                         F.when(of_rule(3) > 0, F.col("q25") - reach).otherwise(F.lit(-1.0)).alias("_bottom"))
+    inside = bins.join(F.broadcast(ends), F.col("rule") == F.col("_rule")).where((bin_value() <= F.col("_top")) & (bin_value() >= F.col("_bottom")))  # a row per rule
+    keys = ["level", "lang", "source", "rule"]
+    found = quantiles(inside, [*keys, "_top", "_bottom"], q01=0.01, q50=0.5, q99=0.99)
+    high = F.least("_top", F.col("q50") + TAIL * (F.col("q99") - F.col("q50")) + of_rule(2))
+    low = F.when(F.col("_bottom") < 0, F.lit(-1.0)).otherwise(F.greatest("_bottom", F.col("q50") - TAIL * (F.col("q50") - F.col("q01")) - of_rule(2)))
+    per_rule = [F.max(F.when(F.col("rule") == r, F.col(c))).alias(f"{r}_{c[1:]}") for r in RULES for c in ("_high", "_low")]
+    return found.withColumn("_high", high).withColumn("_low", low).groupBy("level", "lang", "source").agg(F.max("n_docs").alias("n_docs"), *per_rule)
+
+
+FENCES = [f"{r}_{end}" for r in RULES for end in ("high", "low")]
 
 
 def thresholds(values: DataFrame) -> DataFrame:
-    """One row per (lang, source): the fences of the finest level with ``MIN_GROUP`` documents, settled."""
-    f = settle(fences(sketches(values)), "fences")
-    names = [f"{r}_fence" for r in RULES]
+    """One row per (lang, source): its fences, drawn towards those of its language and of the corpus where it is small; settled."""
+    bins = sketches(values)
+    f = settle(fences(bins), "fences")
     pick = lambda level, keys: f.where(F.col("level") == level).select(
-        *[F.col(k).alias(f"_{k}{level}") for k in keys], F.struct("n_docs", *names).alias(f"_f{level}"))
-    fine = pick(2, ["lang", "source"]).select(F.col("_lang2").alias("lang"), F.col("_source2").alias("source"), "_f2")
-    joined = fine.join(pick(1, ["lang"]), F.col("lang").eqNullSafe(F.col("_lang1")), "left")
-    best = (F.when(F.col("_f2.n_docs") >= MIN_GROUP, F.col("_f2")).when(F.col("_f1.n_docs") >= MIN_GROUP, F.col("_f1")).otherwise(pick(0, []).scalar()))
-    return settle(joined.withColumn("_b", best).select("lang", "source", *[F.col(f"_b.{n}").alias(n) for n in names]), "thresholds")
+        *[F.col(k).alias(f"_{k}{level}") for k in keys], F.struct("n_docs", *FENCES).alias(f"_f{level}"))
+    groups = bins.where("level = 2").select("lang", "source").distinct()
+    same = lambda level, *keys: [F.col(k).eqNullSafe(F.col(f"_{k}{level}")) for k in keys]
+    joined = groups.join(pick(2, ["lang", "source"]), same(2, "lang", "source"), "left").join(pick(1, ["lang"]), same(1, "lang"), "left")
+    whole = pick(0, []).scalar()
+
+    def drawn(own: Column, parent: Column, name: str) -> Column:
+        share = F.col(own)["n_docs"] / (F.col(own)["n_docs"] + MIN_GROUP)
+        return F.coalesce(share * F.col(own)[name] + (1 - share) * parent, parent)
+
+    return settle(joined.withColumn("_f0", whole).select("lang", "source", *[drawn("_f2", drawn("_f1", F.col("_f0")[c], c), c).alias(c) for c in FENCES]), "thresholds")
 
 
 def rule_values(measured: DataFrame) -> DataFrame:
-    return measured.withColumns({r: F.expr(f"double({v})") for r, (v, _, _) in RULES.items()})
+    return measured.withColumns({r: F.expr(f"double({v[0]})") for r, v in RULES.items()})
 
 
 def with_verdict(valued: DataFrame, limits: DataFrame) -> DataFrame:
-    """Adds ``kept``: false if ``base_failed`` or above a fence of the row's group."""
+    """Adds ``kept``: false if ``base_failed`` or beyond a fence of the row's group."""
     g = guarded(limits.withColumnsRenamed({"lang": "_lang", "source": "_source"}))
     passed = ~F.col("base_failed")
     for r in RULES:
-        passed = passed & (F.col(r) <= F.col(f"{r}_fence"))
+        passed = passed & F.col(r).between(F.col(f"{r}_low"), F.col(f"{r}_high"))
     same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     return valued.join(g, same, "left").withColumn("kept", F.coalesce(passed, F.lit(False)))
 
@@ -149,15 +183,14 @@ def verdicts(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id``, the base measures, ``base_failed``, the rules' values and ``kept``."""
     narrow = docs.select("doc_id", "lang", "source", "text")
     measured = settle(rule_values(measures(narrow).drop("text")), "measures")
-    return with_verdict(measured, thresholds(measured))
+    return with_verdict(measured, thresholds(measured.where("NOT base_failed")))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents that ``verdicts`` rejects; columns unchanged.
 
-    The texts are measured once for the sketches and once more on their way through, which moves no text in a shuffle.
+    Documents are written with their measures, without those that fail the base rule, and read again: no text is measured twice or shuffled.
     """
-    narrow = docs.select("lang", "source", "text")
-    limits = thresholds(rule_values(measures(narrow).drop("text")))
     named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "lang", "source", "text")
-    return with_verdict(rule_values(measures(named).drop("text")), limits).where("kept").select("_row.*")
+    measured = settle(rule_values(measures(named).drop("text")).where("NOT base_failed"), "measured-documents")
+    return with_verdict(measured, thresholds(measured.drop("_row"))).where("kept").select("_row.*")
