@@ -19,15 +19,6 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def fetch_side(df: DataFrame, max_rows: int) -> list | None:
-    """The rows of a small result table, or None when it has more than ``max_rows``.
-
-    At most ``max_rows + 1`` rows ever reach the driver.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    return rows if len(rows) <= max_rows else None
-
-
 def write_side(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder as Parquet; the optimizer then knows its size from its files."""
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/docloom/{df.sparkSession.sparkContext.applicationId}/side-{uuid.uuid4().hex[:12]}"

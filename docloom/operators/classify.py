@@ -1,22 +1,20 @@
-"""Training and scoring: naive Bayes as aggregations, MLlib models, ensembles, grid search."""
+"""Training and scoring: naive Bayes as aggregations, MLlib models, votes, early stopping, importances."""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from math import log
-from random import Random
 
-from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression, NaiveBayes, OneVsRest,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler, VectorSizeHint, VectorSlicer
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.feature import VectorSizeHint
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docloom.functions.scale import hot_join, join_side, settle
+from docloom.functions.text import let
 from docloom.operators.evaluate import weighted_metrics
 
 
@@ -74,23 +72,25 @@ def naive_bayes_fit(pairs: DataFrame, docs: DataFrame, alpha: float = 1.0, fit_p
 
 
 def naive_bayes_score(model: NaiveBayesTable, pairs: DataFrame, docs: DataFrame, id: str = "doc_id") -> DataFrame:
-    """``(id, prediction, probability, confidence)`` for every document; unknown terms are ignored."""
+    """``(id, prediction, probability, confidence)``, one row per distinct id of ``docs``; unknown terms are ignored.
+
+    Every document starts with a 0 per class, so its sums come as an array in class order, and all else is linear in the classes.
+    """
     hits = hot_join(pairs.select(id, "term", "tf"), model.terms, "term", "cf")
     # class -1 counts the known words of a document
     gains = hits.select(id, "tf", F.explode(F.concat(F.array(F.struct(F.lit(-1).alias("class"), F.lit(1.0).alias("gain"))), "gains")).alias("g"))
-    sums = (gains.groupBy(id, "g.class").agg(F.sum(F.col("tf") * F.col("g.gain")).alias("s"))
-            .groupBy(id).agg(F.map_from_entries(F.collect_list(F.struct("class", "s"))).alias("s")))
-    full = docs.select(id).join(sums, id, "left")
-    of = lambda i: F.coalesce(F.try_element_at("s", i), F.lit(0.0))
-    known = of(F.lit(-1))
+    zeros = docs.select(id, F.explode(F.sequence(F.lit(-1), F.lit(len(model.classes) - 1))).alias("class"), F.lit(0.0).alias("s"))
+    sums = gains.select(id, "g.class", (F.col("tf") * F.col("g.gain")).alias("s")).unionByName(zeros).groupBy(id, "class").agg(F.sum("s").alias("s"))
+    rows = sums.groupBy(id).agg(F.array_sort(F.collect_list(F.struct("class", "s"))).alias("s"))
     constants = F.array(*[F.lit(float(x)) for x in model.priors]), F.array(*[F.lit(model.log_alpha - d) for d in model.denominators])
-    scores = F.transform(F.arrays_zip(constants[0].alias("p"), constants[1].alias("d")), lambda x, i: x["p"] + known * x["d"] + of(i))
-    scored = full.select(id, scores.alias("score"))
-    shifted = scored.select(id, F.transform("score", lambda x: F.exp(x - F.array_max("score"))).alias("e"))
-    total = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)
-    probs = shifted.select(id, F.transform("e", lambda x: x / total).alias("probability"))
-    return probs.select(id, predicted_class(F.col("probability"), model.classes).alias("prediction"), "probability",
-                        F.array_max("probability").alias("confidence"))
+    parts = F.arrays_zip(F.slice("s", 2, len(model.classes)).alias("s"), constants[0].alias("p"), constants[1].alias("d"))
+    scores = let(F.struct(F.get("s", F.lit(0))["s"].alias("known"), parts.alias("parts")),
+                 lambda x: F.transform(x["parts"], lambda c: c["p"] + x["known"] * c["d"] + c["s"]["s"]))
+    powers = let(scores, lambda v: let(F.struct(v.alias("v"), F.array_max(v).alias("m")), lambda x: F.transform(x["v"], lambda y: F.exp(y - x["m"]))))
+    total = lambda v: F.aggregate(v, F.lit(0.0), lambda a, x: a + x)
+    shares = let(powers, lambda v: let(F.struct(v.alias("v"), total(v).alias("t")), lambda x: F.transform(x["v"], lambda y: y / x["t"])))
+    return rows.select(id, F.explode(F.array(shares)).alias("probability")).select(
+        id, predicted_class(F.col("probability"), model.classes).alias("prediction"), "probability", F.array_max("probability").alias("confidence"))
 
 
 def predicted_class(probability: Column, classes: Sequence) -> Column:
@@ -132,84 +132,6 @@ def bagging(trees: int = 100, max_samples: float = 1.0, max_depth: int = 30, see
                                   subsamplingRate=max_samples, seed=seed, **cols)
 
 
-@dataclass(frozen=True)
-class BaggedTrees:
-    """Trees on feature subsets; the probability is the mean over the trees."""
-
-    slicers: list[VectorSlicer]
-    trees: list[Model]
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        columns, out, n = df.columns, df, len(self.trees)
-        for slicer, tree in zip(self.slicers, self.trees):
-            out = tree.transform(slicer.transform(out))
-        votes = [vector_to_array(t.getProbabilityCol()) for t in self.trees]
-        summed = out.select(*columns, F.array(*votes).alias("_votes"))
-        mean = F.transform(F.get("_votes", 0), lambda _, c: F.aggregate(
-            F.transform("_votes", lambda v: F.get(v, c)), F.lit(0.0), lambda a, x: a + x) / n)
-        probs = summed.select(*columns, mean.alias("_p"))
-        best = F.array_position("_p", F.array_max("_p")).cast("double") - 1
-        return probs.select(*columns, array_to_vector("_p").alias("probability"), best.alias("prediction"))
-
-
-def fit_feature_bagging(train: DataFrame, n_features: int, trees: int = 100, max_samples: float = 1.0,
-                        max_features: float = 1.0, max_depth: int = 30, seed: int = 42, features: str = "features",
-                        label: str = "label") -> BaggedTrees:
-    """Bagged trees on random feature subsets.
-
-    Each tree is one distributed fit on a bootstrap sample; the number of trees is a
-    parameter and does not grow with the data.
-    """
-    rng, width = Random(seed), max(1, int(max_features * n_features))
-    slicers, models = [], []
-    for i in range(trees):
-        subset = sorted(rng.sample(range(n_features), width))
-        slicer = VectorSlicer(inputCol=features, outputCol=f"_f{i}", indices=subset)
-        tree = DecisionTreeClassifier(featuresCol=f"_f{i}", labelCol=label, maxDepth=max_depth, seed=seed + i,
-                                      predictionCol=f"_p{i}", probabilityCol=f"_q{i}", rawPredictionCol=f"_r{i}")
-        sample = slicer.transform(train).sample(withReplacement=True, fraction=max_samples, seed=seed + i)
-        slicers.append(slicer)
-        models.append(tree.fit(sample))
-    return BaggedTrees(slicers, models)
-
-
-# ---- calibrated linear SVM ------------------------------------------------------------------
-
-@dataclass(frozen=True)
-class CalibratedSvm:
-    """One-vs-rest margins with one sigmoid per class, normalized to probabilities."""
-
-    margins: Model
-    sigmoids: list[tuple[float, float]]
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        m = vector_to_array("rawPrediction")
-        p = F.array(*[1.0 / (1.0 + F.exp(-(F.lit(a) * F.get(m, i) + F.lit(b)))) for i, (a, b) in enumerate(self.sigmoids)])
-        scored = self.margins.transform(df).withColumn("_p", p)
-        total = F.aggregate("_p", F.lit(0.0), lambda s, x: s + x)
-        probs = scored.withColumn("_p", F.transform("_p", lambda x: x / total))
-        best = F.array_position("_p", F.array_max("_p")).cast("double") - 1
-        return probs.withColumns({"probability": array_to_vector("_p"), "prediction": best}).drop("_p")
-
-
-def fit_calibrated_svm(train: DataFrame, C: float = 1.0, max_iter: int = 100, weight: str | None = "weight",
-                       rows: int | None = None, label: str = "label", features: str = "features") -> CalibratedSvm:
-    rows = rows or train.count()
-    svc = LinearSVC(regParam=1.0 / (C * rows), maxIter=max_iter, standardization=False)
-    ovr = OneVsRest(classifier=svc, featuresCol=features, labelCol=label, parallelism=4)
-    if weight:
-        ovr = ovr.setWeightCol(weight)
-    model = ovr.fit(train)
-    scored = model.transform(train).select(label, vector_to_array("rawPrediction").alias("m"))
-    sigmoids = []
-    for i in range(len(model.models)):
-        one = scored.select((F.col(label) == i).cast("double").alias("y"),
-                            array_to_vector(F.array(F.get("m", i))).alias("x"))
-        lr = LogisticRegression(featuresCol="x", labelCol="y", maxIter=50).fit(one)
-        sigmoids.append((float(lr.coefficients[0]), float(lr.intercept)))
-    return CalibratedSvm(model, sigmoids)
-
-
 # ---- fitting, scoring ------------------------------------------------------------------------
 
 def fit_report(model, sets: dict[str, DataFrame], label: str = "label") -> DataFrame:
@@ -222,6 +144,22 @@ def fit_report(model, sets: dict[str, DataFrame], label: str = "label") -> DataF
     return weighted_metrics(union, ["set"])
 
 
+def fit_with_report(fit: Callable[[DataFrame], object], sets: dict[str, DataFrame], names: Sequence[str] = (), label: str = "label") -> tuple[object, DataFrame]:
+    """The model fitted on the first of the named sets, and ``(section, name, value)``: metrics per set, importances of the named features and the seconds of the fit."""
+    start = time.time()
+    model = fit(next(iter(sets.values())))
+    seconds = time.time() - start
+    metrics = fit_report(model, sets, label)
+    rows = F.inline(F.array(*[F.struct(F.concat(F.lit(f"{m}:"), "set").alias("name"), F.col(m).alias("value")) for m in ("accuracy", "precision", "recall", "f1")]))
+    report = metrics.select(F.lit("metrics").alias("section"), rows)
+    own = [("time", "seconds", seconds), *[("importance", n, w) for n, w in feature_importances(model, names)]]
+    return model, report.unionByName(_long_rows(report, own))
+
+
+def _long_rows(report: DataFrame, rows: list[tuple[str, str, float]]) -> DataFrame:
+    return report.sparkSession.createDataFrame(rows, "section string, name string, value double")
+
+
 def predict(model, df: DataFrame, width: int | None = None, features: str = "features", classes: int | None = None,
             keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Predictions with class probabilities and confidence, the highest probability.
@@ -255,46 +193,6 @@ def soft_vote(scores: DataFrame, weights: dict[str, float], classes: Sequence, i
         F.array_max("probability").alias("confidence"))
 
 
-def add_probabilities(bases: dict[str, object], df: DataFrame) -> DataFrame:
-    """The probability vector of each base model as a column ``_name``, one narrow pass after the other."""
-    out = df
-    for name, base in bases.items():
-        out = base.transform(out).select(*out.columns, F.col("probability").alias(f"_{name}"))
-    return out
-
-
-@dataclass(frozen=True)
-class Stack:
-    """Base models, and a final model on their probabilities next to the original features."""
-
-    bases: dict[str, object]
-    final: Model
-    features: str = "features"
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        columns = [f"_{n}" for n in self.bases]
-        stacked = VectorAssembler(inputCols=[self.features, *columns], outputCol="_stacked")
-        return self.final.transform(stacked.transform(add_probabilities(self.bases, df))).drop("_stacked", *columns)
-
-
-def fit_stack(train: DataFrame, fits: dict[str, Callable[[DataFrame], object]],
-              final: Callable[[DataFrame, str], Model], fold: str = "fold", k: int = 3,
-              features: str = "features") -> Stack:
-    """Stacking with out-of-fold base probabilities next to the original features.
-
-    ``train`` carries a fold column. The base models of a round score the fold they
-    have not seen; the folds are put one after the other, so nothing has to be joined.
-    """
-    unseen = None
-    for i in range(k):
-        seen = train.where(F.col(fold) != i)
-        part = add_probabilities({n: fit(seen) for n, fit in fits.items()}, train.where(F.col(fold) == i))
-        unseen = part if unseen is None else unseen.unionByName(part)
-    stacked = VectorAssembler(inputCols=[features, *[f"_{n}" for n in fits]], outputCol="_stacked").transform(unseen)
-    last = final(stacked, "_stacked")
-    return Stack({n: fit(train) for n, fit in fits.items()}, last, features)
-
-
 def fit_until_no_gain(settings: Sequence, fit: Callable[[object], object], val: DataFrame, patience: int = 3,
                       max_rounds: int = 10, label: str = "label") -> tuple[object, list[tuple[int, float]]]:
     """Fit growing settings in turn; stop when validation F1 has not risen for ``patience`` rounds."""
@@ -312,28 +210,6 @@ def fit_until_no_gain(settings: Sequence, fit: Callable[[object], object], val:
     return best, history
 
 
-def grid_search(folded: DataFrame, estimator: Estimator, grid: list, k: int = 5, fold: str = "fold",
-                label: str = "label", parallelism: int = 4) -> tuple[Model, DataFrame]:
-    """Cross-validated grid; refit on the best weighted F1, full score table kept.
-
-    The fitted fold models score their own held-out rows once; all four scores of
-    all settings then come from a single grouped pass.
-    """
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, numFolds=k, foldCol=fold,
-                        parallelism=parallelism, collectSubModels=True,
-                        evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="f1"))
-    fitted = cv.fit(folded)
-    parts = None
-    for f, models in enumerate(fitted.subModels):
-        held = folded.where(F.col(fold) == f)
-        for i, model in enumerate(models):
-            part = model.transform(held).select(F.lit(i).alias("setting"), F.lit(f).alias("fold"),
-                                                F.col(label).alias("label"), "prediction")
-            parts = part if parts is None else parts.unionByName(part)
-    scores = weighted_metrics(parts, ["setting", "fold"])
-    return fitted.bestModel, scores
-
-
 def feature_importances(model, names: Sequence[str], k: int | None = None) -> list[tuple[str, float]]:
     """Named importances, highest first; for linear models the absolute coefficients of the first class."""
     if hasattr(model, "featureImportances"):

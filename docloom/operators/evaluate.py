@@ -14,7 +14,7 @@ from functools import lru_cache
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from docloom.functions.scale import running_totals
+from docloom.functions.scale import running_totals, write_side
 from docloom.functions.text import ratio
 
 
@@ -22,9 +22,10 @@ METRICS = ("accuracy", "precision", "recall", "f1")
 
 
 def confusion_cells(preds: DataFrame, keys: Sequence[str] = (), label: str = "label",
-                    prediction: str = "prediction") -> DataFrame:
+                    prediction: str = "prediction", count: str | None = None) -> DataFrame:
+    """Rows per true and predicted class; ``count`` names a column of rows that are counted already."""
     return preds.groupBy(*keys, F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
-        F.count("*").alias("n"))
+        (F.sum(count) if count else F.count("*")).alias("n"))
 
 
 def class_pairs(cells: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -147,14 +148,15 @@ def class_scores(preds: DataFrame, classes: Sequence, id: str = "doc_id", label:
     return long.select(id, "class", "score", (F.col(label) == F.col("class")).cast("long").alias("hit"))
 
 
-def roc_points(scores: DataFrame, keys: Sequence[str] = ("class",), score: str = "score", hit: str = "hit") -> DataFrame:
+def roc_points(scores: DataFrame, keys: Sequence[str] = ("class",), score: str = "score", hit: str = "hit", count: str | None = None) -> DataFrame:
     """ROC curve per key: threshold, true and false positive rate, one point per distinct score.
 
     Scores are counted per distinct value first; the cumulative sums run over
     slices, so a class with very many distinct scores is not one task.
     """
+    n = F.col(count) if count else F.lit(1)
     tied = scores.groupBy(*keys, F.col(score).alias("threshold")).agg(
-        F.sum(hit).alias("pos"), F.sum(1 - F.col(hit)).alias("neg"))
+        F.sum(F.col(hit) * n).alias("pos"), F.sum((1 - F.col(hit)) * n).alias("neg"))
     run = running_totals(tied, list(keys), [F.desc("threshold")], {"tps": F.col("pos"), "fps": F.col("neg")})
     return run.select(*keys, "threshold", "pos", "neg", "tps", "fps",
                       ratio(F.col("tps"), F.col("tps_total")).alias("tpr"),
@@ -265,11 +267,13 @@ def feature_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def vector_correlations(df: DataFrame, names: Sequence[str], features: str = "features") -> DataFrame:
     """Pearson correlation of every pair of vector positions, for wide feature vectors.
 
-    The matrix is computed over the rows by MLlib; only its width squared cells come back.
+    MLlib sums the products over the rows in tasks; the cells of its matrix are made rows by Spark and never come to Python.
     """
-    matrix = Correlation.corr(df, features).first()[0].toArray()
-    rows = [(a, b, float(matrix[i, j])) for i, a in enumerate(names) for j, b in enumerate(names) if i <= j]
-    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, correlation double")
+    matrix = Correlation.corr(df, features)
+    cells = matrix.select(F.posexplode(F.unwrap_udt(matrix.columns[0]).getField("values")).alias("cell", "correlation"))
+    n, of = F.lit(len(names)), F.lit(list(names))
+    i, j = (F.col("cell") % n).cast("int"), F.floor(F.col("cell") / n).cast("int")
+    return cells.where(i <= j).select(F.get(of, i).alias("feature_a"), F.get(of, j).alias("feature_b"), "correlation")
 
 
 def label_accuracy(preds: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -280,21 +284,55 @@ def label_accuracy(preds: DataFrame, label: str = "label", prediction: str = "pr
     return per_label.unionByName(overall).withColumn("accuracy", ratio(F.col("right"), F.col("cases")))
 
 
-def evaluation_bundle(preds: DataFrame, classes: Sequence, **columns) -> DataFrame:
-    """All of the above for one model as ``(section, name, value)``.
+def evaluation_tally(preds: DataFrame, classes: Sequence, fold: str | None = None, id: str = "doc_id", label: str = "label",
+                     prediction: str = "prediction", probability: str = "probability") -> DataFrame:
+    """What an evaluation needs of its predictions, from one scan of them: ``kind, fold, label, prediction, id, class, score, hit, n``.
 
-    Several passes read ``preds``: hand in a persisted or written table.
+    ``cell`` rows count (fold, label, prediction), ``score`` rows a class's distinct scores, ``case`` rows are the wrong predictions.
     """
-    overall = long_metrics(weighted_metrics(preds, **columns), []).select(
-        F.lit("overall").alias("section"), F.col("metric").alias("name"), "value")
-    per_class = long_metrics(class_metrics(preds, **columns), ["class"], ("precision", "recall", "f1", "specificity"))
-    per_class = per_class.select(F.lit("class").alias("section"),
-                                 F.concat_ws(":", F.col("class").cast("string"), "metric").alias("name"), "value")
-    errors = error_patterns(preds, **columns).select(
-        F.lit("errors").alias("section"), F.col("pattern").alias("name"), F.col("n").cast("double").alias("value"))
-    long = class_scores(preds, classes)
-    auc = roc_auc(roc_points(long)).select(
-        F.lit("auc").alias("section"), F.col("class").cast("string").alias("name"), F.col("auc").alias("value"))
-    micro = roc_auc(roc_points(long, keys=()), keys=()).select(
-        F.lit("auc").alias("section"), F.lit("micro").alias("name"), F.col("auc").alias("value"))
-    return overall.unionByName(per_class).unionByName(errors).unionByName(auc).unionByName(micro)
+    def entry(kind: str, **given: Column) -> Column:
+        types = {"fold": "int", "label": "string", "prediction": "string", "id": "string", "class": "string", "score": "double", "hit": "long"}
+        return F.struct(F.lit(kind).alias("kind"), *[given.get(c, F.lit(None)).cast(t).alias(c) for c, t in types.items()])
+
+    true, called = F.col(label), F.col(prediction)
+    cell = entry("cell", label=true, prediction=called, **({"fold": F.col(fold)} if fold else {}))
+    scores = [entry("score", **{"class": F.lit(str(c)), "score": F.get(F.col(probability), F.lit(i)), "hit": (true == c).cast("long")}) for i, c in enumerate(classes)]
+    case = F.array(entry("case", label=true, prediction=called, id=F.col(id), score=F.array_max(probability)))
+    rows = F.concat(F.array(cell, *scores), F.filter(case, lambda x: ~x["label"].eqNullSafe(x["prediction"])))
+    flat = preds.select(F.inline(rows))
+    return flat.groupBy(*flat.columns).agg(F.count("*").alias("n"))
+
+
+def evaluation_bundle(preds: DataFrame, classes: Sequence, fold: str | None = None, **columns) -> DataFrame:
+    """The whole evaluation of one model as ``(section, name, value)``, from one scan of ``preds``.
+
+    Sections: ``overall`` and ``class`` metrics, ``counts``, ``errors`` per pair of classes, ``auc`` per class and micro, ``case`` (confidence of every
+    wrong prediction), and with a ``fold`` column ``fold`` metrics and their ``cross_validation`` summary.
+    """
+    tally = write_side(evaluation_tally(preds, classes, fold, **columns))
+    cells, scores = tally.where("kind = 'cell'"), tally.where("kind = 'score'")
+
+    def section(name: str, df: DataFrame, key: Column, value: str | Column = "value") -> DataFrame:
+        return df.select(F.lit(name).alias("section"), key.cast("string").alias("name"), F.col(value).cast("double").alias("value") if isinstance(value, str) else value.alias("value"))
+
+    wrong = F.when(~F.col("label").eqNullSafe(F.col("prediction")), F.col("n")).otherwise(0)
+    totals = cells.agg(F.sum("n").alias("cases"), F.sum(wrong).alias("misclassified_count"), ratio(F.sum(wrong), F.sum("n")).alias("misclassification_rate"))
+    totals = totals.withColumns({c: F.col(c).cast("double") for c in totals.columns})
+    parts = [
+        section("overall", long_metrics(weighted_metrics(cells, count="n"), []), F.col("metric")),
+        section("class", long_metrics(class_metrics(cells, count="n"), ["class"], ("precision", "recall", "f1", "specificity")), F.concat_ws(":", "class", "metric")),
+        section("counts", long_metrics(totals, [], totals.columns), F.col("metric")),
+        section("errors", error_patterns(cells, count="n"), F.col("pattern"), "n"),
+        section("auc", roc_auc(roc_points(scores, count="n")), F.col("class"), "auc"),
+        section("auc", roc_auc(roc_points(scores, keys=(), count="n"), keys=()), F.lit("micro"), "auc"),
+        section("case", tally.where("kind = 'case'"), F.concat("id", F.lit(":"), F.coalesce("label", F.lit("NULL")), F.lit("->"), F.coalesce("prediction", F.lit("NULL"))), "score"),
+    ]
+    if fold:
+        per_fold = write_side(weighted_metrics(cells, ["fold"], count="n"))
+        summary = cross_validation_summary(per_fold).withColumnRenamed("metric", "of")
+        parts += [section("fold", long_metrics(per_fold, ["fold"]), F.concat_ws(":", F.col("fold").cast("string"), "metric")),
+                  section("cross_validation", long_metrics(summary, ["of"], ("mean", "std", "ci_low", "ci_high")), F.concat_ws(":", "of", "metric"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.ml.feature import CountVectorizerModel, HashingTF, VectorAssembler, Word2Vec, Word2VecModel
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, HashingTF, Normalizer, VectorAssembler, Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from docloom import lexicon
-from docloom.functions.scale import hot_join, join_side
+from docloom.functions.scale import hot_join, join_side, write_side
 from docloom.functions.text import count_of, let, ngrams, period_parts, ratio, run_lengths, unnest, word_tokens, words
 
 
@@ -42,10 +43,12 @@ def tfidf(df: DataFrame, tokens: Column, id: str = "doc_id", carry: Sequence[str
           term_weight: Callable[[Column], Column] | None = None) -> DataFrame:
     """TF-IDF in long form ``(id, carry…, term, tf, weight)``, rows of length 1 per document.
 
-    The frequency of a term is known, so common terms meet their documents by
-    broadcast and all others in a plain shuffle. ``term_weight``
-    multiplies the normalized weight and is not normalized again.
+    With ``max_features`` the vocabulary is bounded: it goes to every task, weights and norm are computed inside the document's row, and only counts
+    per term are shuffled, to find the vocabulary. Without, the frequency of a term is known, so common terms meet their documents by
+    broadcast and all others in a plain shuffle. ``term_weight`` multiplies the normalized weight and is not normalized again.
     """
+    if max_features is not None:
+        return bounded_tfidf(df, tokens, id, carry, min_df, max_df, max_features, term_weight)
     pairs = term_counts(df, tokens, id, carry)
     docs = df.agg(F.count("*").alias("n")).scalar()
     vocab = term_vocabulary(pairs, docs, min_df, max_df, max_features).select("term", "idf", "df")
@@ -58,6 +61,24 @@ def tfidf(df: DataFrame, tokens: Column, id: str = "doc_id", carry: Sequence[str
     return raw.select(id, *carry, "term", "tf", weight.alias("weight"))
 
 
+def bounded_tfidf(df: DataFrame, tokens: Column, id: str, carry: Sequence[str], min_df: int, max_df: float, max_features: int,
+                  term_weight: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``tfidf`` for a vocabulary of at most ``max_features`` terms: texts are cut once, and the documents' rows are never shuffled."""
+    cut = write_side(df.select(id, *carry, F.coalesce(tokens, F.array().cast("array<string>")).alias("_tokens")))
+    vocab = fit_vocabulary(cut, "_tokens", id, min_df, max_df, max_features)
+    types = cut.select(id, *carry).schema
+    if not vocab:
+        return df.sparkSession.createDataFrame([], types.add("term", "string").add("tf", "long").add("weight", "double"))
+    terms = F.array(*[F.lit(r["term"]) for r in vocab])
+    counted = counts_model([r["term"] for r in vocab], "_tokens", "_counts").transform(cut)
+    weighed = ElementwiseProduct(inputCol="_counts", outputCol="_idf", scalingVec=Vectors.dense([r["idf"] for r in vocab])).transform(counted)
+    vectors = Normalizer(inputCol="_idf", outputCol="_unit", p=2.0).transform(weighed)
+    part = lambda c, name: F.unwrap_udt(c).getField(name)
+    cells = F.arrays_zip(part("_counts", "indices").alias("i"), part("_counts", "values").alias("tf"), part("_unit", "values").alias("weight"))
+    rows = vectors.select(id, *carry, F.inline(cells)).select(id, *carry, F.get(terms, F.col("i")).alias("term"), F.col("tf").cast("long").alias("tf"), "weight")
+    return rows.withColumn("weight", F.col("weight") * term_weight(F.col("term"))) if term_weight is not None else rows
+
+
 def domain_weight(category: str | None = None, weights: dict[str, float] = lexicon.TERM_WEIGHTS,
                   category_terms: dict[str, list[str]] = lexicon.CATEGORY_TERMS,
                   general: Sequence[str] = lexicon.GENERAL_TERMS) -> Callable[[Column], Column]:

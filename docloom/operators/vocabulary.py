@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from docloom import lexicon
-from docloom.functions.scale import running_totals, top_rows
+from docloom.functions.scale import join_side, running_totals, top_rows, write_side
 from docloom.functions.text import ngram_text, ngrams, plain_word_tokens, unnest, vocabulary_tokens
 from docloom.operators.features import tfidf
 
@@ -65,31 +65,45 @@ def vocabulary_overview(df: DataFrame, text: str = "text") -> DataFrame:
 
 def class_term_scores(df: DataFrame, text: str = "text", id: str = "doc_id", label: str = "label",
                       min_df: int = 10, stopwords: Sequence[str] = lexicon.STOPWORDS) -> DataFrame:
-    """Per label and term: mean TF-IDF in the class and in all other classes.
+    """Per label and term that the label has: mean TF-IDF in the class, and that less the mean in all other classes.
 
-    Both means come from one sum per (label, term); documents without the term count as 0.
+    Documents without the term count as 0. Next to both stand ``total`` (the term's weight in all classes), ``docs`` and ``all_docs``; every class
+    has one row without a term, so that classes without any are known. Written once, as profiles read it more than once.
     """
     weights = tfidf(df, plain_word_tokens(F.col(text), stopwords), id=id, carry=[label], min_df=min_df, max_df=1.0)
-    sums = weights.groupBy(label, "term").agg(F.sum("weight").alias("s"))
-    sizes = df.groupBy(label).agg(F.count("*").alias("docs")).select(
-        label, "docs", F.sum("docs").over(Window.partitionBy(F.lit(1))).alias("all_docs"))
-    # Every class gets a row for every term that any class has: a term a class lacks
-    # still has a (negative) distinctiveness there.
-    by_term = sums.groupBy("term").agg(
-        F.sum("s").alias("s_all"), F.map_from_entries(F.collect_list(F.struct(label, "s"))).alias("per_label"))
-    classes = sizes.agg(F.collect_list(F.struct(F.col(label), "docs", "all_docs"))).scalar()
-    cells = by_term.select("term", "s_all", "per_label", F.inline(classes))
-    own = F.coalesce(F.element_at("per_label", F.col(label)), F.lit(0.0))
+    sums = weights.groupBy(label, "term").agg(F.sum("weight").alias("own"))
+    sums = sums.withColumn("total", F.sum("own").over(Window.partitionBy("term")))  # at most a row per class
+    sizes = df.groupBy(label).agg(F.count("*").alias("docs"))
+    sizes = sizes.withColumn("all_docs", df.agg(F.count("*")).scalar())
+    rows = join_side(sums, sizes, label).unionByName(sizes.select(label, F.lit(None).cast("string").alias("term"), F.lit(0.0).alias("own"),
+                                                                  F.lit(0.0).alias("total"), "docs", "all_docs"))
     others = F.col("all_docs") - F.col("docs")
-    rest = F.when(others > 0, (F.col("s_all") - own) / others).otherwise(F.lit(0.0))
-    return cells.select(label, "term", (own / F.col("docs")).alias("score"),
-                        (own / F.col("docs") - rest).alias("distinctiveness"))
+    rest = F.when(others > 0, (F.col("total") - F.col("own")) / others).otherwise(F.lit(0.0))
+    mean = F.col("own") / F.col("docs")
+    return write_side(rows.select(label, "term", mean.alias("score"), (mean - rest).alias("distinctiveness"), "total", "docs", "all_docs"))
 
 
 def class_profile(scores: DataFrame, label: str = "label", k: int = 20, by: str = "score") -> DataFrame:
-    """Top terms per class by mean score or by distinctiveness (rounded, so ties are stable)."""
-    rounded = scores.select(label, "term", F.round(by, 6).alias(by))
-    return top_rows(rounded, [label], [F.desc(by), F.asc("term")], k)
+    """Top terms per class by mean score or by distinctiveness (rounded, so ties are stable).
+
+    A term that a class lacks scores 0 there and is distinctive by 0 at most. So only classes with fewer than ``k`` positive terms look at
+    the terms they lack, which is known from one count per class.
+    """
+    value = F.round(by, 6)
+    found = scores.where("term IS NOT NULL").select(label, "term", value.alias(by))
+    short = write_side(scores.groupBy(label).agg(F.count_if((value > 0) & F.col("term").isNotNull()).alias("good"), F.max("docs").alias("docs"),
+                                                 F.max("all_docs").alias("all_docs")).where(F.col("good") < k))
+    if not short.isEmpty():
+        terms = scores.where("term IS NOT NULL").groupBy("term").agg(F.max("total").alias("total"))
+        wanted = short.agg(F.collect_list(F.struct(F.col(label), "docs", "all_docs"))).scalar()
+        cells = terms.select("term", "total", F.inline(wanted))
+        others = F.col("all_docs") - F.col("docs")
+        rest = F.when(others > 0, F.col("total") / others).otherwise(F.lit(0.0))
+        lacking = cells.select(label, "term", F.round(F.lit(0.0) - (rest if by == "distinctiveness" else F.lit(0.0)), 6).alias(by))
+        known = found.select(F.col(label).alias("_label"), F.col("term").alias("_term"))
+        lacking = lacking.join(known, F.col(label).eqNullSafe(F.col("_label")) & (F.col("term") == F.col("_term")), "left_anti")
+        found = found.unionByName(lacking)
+    return top_rows(found, [label], [F.desc(by), F.asc("term")], k)
 
 
 def vocabulary_overlap(profile: DataFrame, label: str = "label") -> DataFrame:

@@ -54,6 +54,35 @@ def load_prepared(spark: SparkSession, path: str, split: str | None = None) -> D
     return df.where(F.col("split") == split) if split else df
 
 
+def save_prepared_set(rows: DataFrame, labels: DataFrame, path: str, names: Sequence[str], feature_types: Sequence[str] = (),
+                      features: str = "features", label: str = "label", split: str = "split") -> None:
+    """Prepared rows with what is needed to read them: the label table, the name of every vector position, and a manifest, which is written last.
+
+    ``rows`` has a vector column and one row per document; data go to ``data``, one folder per split.
+    """
+    spark = rows.sparkSession
+    rows.write.mode("overwrite").partitionBy(split).parquet(f"{path}/data")
+    labels.write.mode("overwrite").parquet(f"{path}/labels")
+    spark.createDataFrame(list(enumerate(names)), "position int, name string").coalesce(1).write.mode("overwrite").parquet(f"{path}/names")
+    manifest = [(features, label, split, len(names), list(feature_types))]
+    spark.createDataFrame(manifest, "features string, label string, split string, width int, feature_types array<string>").coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
+
+
+def load_prepared_set(spark: SparkSession, path: str, split: str | None = None) -> tuple[DataFrame, DataFrame, dict]:
+    """The rows of all splits or one, with named vector positions, the label table, and the manifest. A set without a manifest is not complete."""
+    if not exists(spark, f"{path}/manifest/_SUCCESS"):
+        raise FileNotFoundError(f"no complete prepared set at {path}")
+    manifest = spark.read.json(f"{path}/manifest").first().asDict()
+    names = [r["name"] for r in spark.read.parquet(f"{path}/names").orderBy("position").collect()]
+    if len(names) != manifest["width"]:
+        raise ValueError(f"{len(names)} names for {manifest['width']} positions at {path}")
+    rows = spark.read.parquet(f"{path}/data")
+    rows = rows.where(F.col(manifest["split"]) == split) if split else rows
+    column = manifest["features"]
+    attributes = {"ml_attr": {"attrs": {"numeric": [{"idx": i, "name": n} for i, n in enumerate(names)]}, "num_attrs": len(names)}}
+    return rows.withColumn(column, F.col(column).alias(column, metadata=attributes)), spark.read.parquet(f"{path}/labels"), manifest
+
+
 def prepared_report(df: DataFrame, label: str = "label", features: str | None = None) -> DataFrame:
     """Rows, classes and vector width per split."""
     aggs = [F.count("*").alias("rows"), F.count_distinct(label).alias("classes")]

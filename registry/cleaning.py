@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from docloom import lexicon
 from docloom.functions import cleaning as c
 from docloom.functions.text import any_of, quote
 from docloom.operators import normalize as n
-from registry.common import SQUEEZED, docs, in_list, lit, query, tidy, words_of
+from registry.common import ORACLES, SQUEEZED, docs, in_list, lit, query, tidy, words_of
 
 # Lexicons made of words that occur in the test texts.
 SYNONYMS = {"the": "that one", "thing": "the matter", "of the": "owned by", "in": "inside", "nicht": "kein"}
@@ -327,3 +329,109 @@ def _(spark, sf):
 def _(spark, sf):
     return n.character_step(docs(spark, sf).select("doc_id", "text")).select("doc_id", "text", joined("numbers").alias("numbers"))
 
+
+LONE = (f"(SELECT array_to_string(list_transform(range(1, len(x) + 1), lambda i: CASE WHEN x[i] NOT IN ({in_list(lexicon.SPACED_CHARS)}) THEN x[i] "
+        "WHEN coalesce(regexp_matches(x[i - 1], '\\s'), false) OR coalesce(regexp_matches(x[i + 1], '\\s'), false) THEN x[i] ELSE ' ' || x[i] || ' ' END), '') "
+        "FROM (SELECT string_split(gap, '') AS x))")
+
+
+def _special_sql() -> str:
+    """Pieces as rows: gaps with lone marks set apart, spans as they are; then measurements are opened."""
+    return f"""
+WITH p AS (SELECT doc_id, string_split_regex(text, {lit(PROTECTED)}) AS gaps, regexp_extract_all(text, {lit(PROTECTED)}) AS spans FROM {S}),
+u AS (SELECT doc_id, spans, unnest(gaps) AS gap, unnest(range(1, len(gaps) + 1)) AS i FROM p),
+m AS (SELECT doc_id, any_value(spans) AS spans, string_agg(regexp_replace({LONE}, '\\s+', ' ', 'g') || coalesce(spans[i], ''), '' ORDER BY i) AS text FROM u GROUP BY doc_id)
+SELECT doc_id, {OPEN} AS text, array_to_string(spans, '|') AS spans FROM m"""
+
+
+# ---- texts cut at their matches and put together again, as SQL ------------------------------
+
+def step(source: str, name: str, pattern: str, span: str = "_s", gap: str = "_g", carry: str = "") -> str:
+    """A CTE that rebuilds the column ``text`` of ``source`` from ``span`` of each match ``_s`` and ``gap`` of each piece ``_g`` between; each text is cut once."""
+    return (f"{name} AS (SELECT doc_id{carry}, text AS before, spans, array_to_string(list_transform(range(1, len(gaps) + 1), lambda i: {gap.replace('_g', 'gaps[i]')} || "
+            f"coalesce({span.replace('_s', 'spans[i]')}, '')), '') AS text FROM (SELECT *, string_split_regex(text, {lit(pattern)}) AS gaps, "
+            f"regexp_extract_all(text, {lit(pattern)}) AS spans FROM {source}))")
+
+
+def word_step(source: str, name: str, terms: dict[str, str], case: str = "(?i)", carry: str = "") -> str:
+    """CTEs that rewrite whole words: separators are doubled, so that neighbouring matches do not share one, and made single again.
+
+    ``terms`` maps a word as it is looked up to an SQL expression, which may use ``before``, the text as it came.
+    """
+    doubled = f"SELECT * REPLACE ('  ' || regexp_replace(text, '({NOT_WORD})', '\\1\\1', 'g') || '  ' AS text), text AS whole FROM {source}"
+    pattern = f"{case}{NOT_WORD}(?:{'|'.join(quote(t).replace(' ', '  ') for t in sorted(terms, key=lambda t: -len(t)))}){NOT_WORD}"
+    core = "substr(spans[i], 2, length(spans[i]) - 2)"
+    key = f"lower({core})" if case else core
+    cases = " ".join(f"WHEN {lit(t.replace(' ', '  '))} THEN {e}" for t, e in terms.items())
+    new = f"spans[i][1] || coalesce(CASE {key} {cases} END, {core}) || spans[i][-1]"
+    body = f"array_to_string(list_transform(range(1, len(gaps) + 1), lambda i: gaps[i] || coalesce({new}, '')), '')"
+    return f"""{name}d AS ({doubled}),
+{name}c AS (SELECT *, string_split_regex(text, {lit(pattern)}) AS gaps, regexp_extract_all(text, {lit(pattern)}) AS spans FROM {name}d),
+{name}r AS (SELECT doc_id{carry}, whole AS before, len(spans) AS made, {body} AS text FROM {name}c),
+{name} AS (SELECT * REPLACE (substr(regexp_replace(text, '({NOT_WORD}){NOT_WORD}', '\\1', 'g'), 2, length(regexp_replace(text, '({NOT_WORD}){NOT_WORD}', '\\1', 'g')) - 2) AS text) FROM {name}r)"""
+
+
+def replaced(table: dict[str, str]) -> dict[str, str]:
+    """Replacements of a synonym table for ``word_step``."""
+    return {t: lit(re.sub(f"({NOT_WORD_ASCII})", r"\1\1", x)) for t, x in table.items()}
+
+
+NOT_WORD_ASCII = r"[^\w]"
+
+
+def by_context(text: str, mark: str, side: str) -> str:
+    """A blank on both sides of ``mark`` unless each of its neighbours is of the class ``side``."""
+    near = lambda k: f"coalesce(regexp_matches(x[i {k} 1], '{side}'), false)"
+    return (f"(SELECT array_to_string(list_transform(range(1, len(x) + 1), lambda i: CASE WHEN x[i] <> '{mark}' THEN x[i] WHEN {near('-')} AND {near('+')} THEN x[i] "
+            f"ELSE ' {mark} ' END), '') FROM (SELECT string_split({text}, '') AS x))")
+
+
+def _chain_sql(tables, made: str = "made", more: str = "") -> str:
+    """Synonym tables one after the other."""
+    ctes = [f"t0 AS (SELECT doc_id, text, CAST(0 AS BIGINT) AS total FROM {S})"]
+    for k, table in enumerate(tables):
+        ctes.append(word_step(f"t{k}", f"x{k}", replaced(table), carry=", total"))
+        ctes.append(f"t{k + 1} AS (SELECT doc_id, text, total + made AS total FROM x{k})")
+    return f"WITH {', '.join(ctes)} SELECT doc_id, text{more} FROM t{len(tables)}"
+
+
+def _tokens_sql(improved: bool) -> str:
+    pattern = c.token_pattern()
+    gap = "regexp_replace(_g, '([A-Z]-[A-Z])', ' \\1 ', 'g')" if improved else "_g"
+    return f"""WITH {step('documents', 't', pattern, gap=f"regexp_replace({gap}, '\\s+', ' ', 'g')")}
+SELECT doc_id, trim(text) AS text, array_to_string(spans, '|') AS spans FROM t"""
+
+
+def _unify(source: str, name: str, table: dict[str, str]) -> str:
+    return word_step(source, name, {a.lower(): f"CASE WHEN contains(whole, {lit(a)}) THEN {lit(a)} END" for a in table}, case="")
+
+
+def _spaced(text: str) -> str:
+    for mark, side in (("-", "[\\p{L}\\p{N}]"), ("/", "[\\d\\s]"), ("%", "\\d"), ("±", "[\\d\\s]")):
+        text = by_context(text, mark, side)
+    return text
+
+
+MARKED = "regexp_replace(text, '([.,])', ' \\1 ', 'g')"
+UNIT_PATTERN = r"(?i)\d+\s*" + any_of(lexicon.COMPACT_UNITS)
+MENTIONS = "list_concat(" * (len(lexicon.COMPACT_UNITS) - 1) + ", ".join(
+    f"regexp_extract_all(before, {lit(rf'(?i)' + chr(92) + 'd+' + chr(92) + f's*{quote(u)}')})" + (")" if i else "") for i, u in enumerate(lexicon.COMPACT_UNITS))
+UNIFIED = {**ABBREVIATIONS, **lexicon.CASE_ABBREVIATIONS}
+
+ORACLES.update({
+    "n03_special_characters": _special_sql(),
+    "n09_category_synonyms": _chain_sql([SYNONYMS, *lexicon.CATEGORY_SYNONYMS.values()], more=", total AS made"),
+    "n11_frequency_synonyms": _chain_sql([{"the": "each", "of the": "per", **lexicon.FREQUENCY_SYNONYMS}]),
+    "n16_tokenize": _tokens_sql(False),
+    "n17_tokenize_improved": _tokens_sql(True),
+    "n19_unify_abbreviations": f"""WITH {_unify(S, 't', UNIFIED)}
+SELECT doc_id, text, array_to_string(list_sort(list_filter([{in_list(UNIFIED)}], lambda a: contains(before, a))), '|') AS abbreviations FROM t""",
+    "n21_space_by_context": f"SELECT doc_id, {_spaced(MARKED)} AS text FROM {S}",
+    "n28_character_step": f"""WITH t AS (SELECT doc_id, {_spaced(MARKED)} AS text FROM documents)
+SELECT doc_id, text, array_to_string(list_concat(list_concat(regexp_extract_all(text, '\\d+\\.\\d+'), regexp_extract_all(text, '\\d+')),
+  list_concat(regexp_extract_all(text, '\\d+\\s*-\\s*\\d+'), regexp_extract_all(text, '\\d+/\\d+'))), '|') AS numbers FROM t""",
+    "n28_term_step": f"""WITH {_unify('(SELECT doc_id, text FROM documents)', 'a', lexicon.CASE_ABBREVIATIONS)},
+b AS (SELECT doc_id, {_lowered(lexicon.PRESERVED_TERMS)} AS text, {_terms_sql(lexicon.PRESERVED_TERMS)} AS terms FROM a),
+{step('b', 'd', UNIT_PATTERN, span="lower(replace(_s, ' ', ''))", carry=', terms')}
+SELECT doc_id, text, terms, array_to_string({MENTIONS}, '|') AS mentions FROM d""",
+})

@@ -7,10 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from docloom import lexicon
-from docloom.functions.scale import plan_bytes
 from docloom.session import shared_folder
 
-SMALL_TABLE = 64 << 20
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -29,9 +27,10 @@ def load(spark: SparkSession, sf: str, table: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:
-    """The documents. A file of one row group is one task: a small table is dealt to all cores, a large one has pieces enough."""
+    """The documents. A row group is one task at least, so a table with fewer pieces than there are cores is dealt to all of them."""
     d = load(spark, sf, "documents")
-    return d.repartition(spark.sparkContext.defaultParallelism) if plan_bytes(d) <= SMALL_TABLE else d
+    cores = spark.sparkContext.defaultParallelism
+    return d.repartition(cores) if d.rdd.getNumPartitions() < cores else d
 
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:

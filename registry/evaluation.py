@@ -233,9 +233,38 @@ def _(spark, sf):
     return tidy(e.best_fold(fold_metrics(spark, sf)))
 
 
-@query("e18_evaluation_bundle")
+def _unpivot(source: str, key: str, names) -> str:
+    return " UNION ALL ".join(f"SELECT {key.format(m=m)} AS name, CAST({m} AS DOUBLE) AS value FROM {source}" for m in names)
+
+
+def bundle_sql() -> str:
+    """Every section from the fragments of the single queries."""
+    def section(name: str, cte: str, body: str) -> str:
+        return f"SELECT '{name}' AS section, name, {r('value')} AS value FROM (WITH {cte} {body})"
+
+    by_class = ("precision", "recall", "f1", "specificity")
+    cv = " UNION ALL ".join(
+        f"""SELECT '{m}:' || s AS name, CASE s WHEN 'mean' THEN a WHEN 'std' THEN d WHEN 'ci_low' THEN a - 1.96 * d / sqrt(k) ELSE a + 1.96 * d / sqrt(k) END AS value
+        FROM (SELECT avg({m}) AS a, stddev_pop({m}) AS d, count(*) AS k FROM wm), (SELECT unnest(['mean', 'std', 'ci_low', 'ci_high']) AS s)""" for m in M)
+    parts = [
+        section("overall", f"{P}, {metrics_cte()}", _unpivot("wm", "'{m}'", M)),
+        section("class", f"{P}, {metrics_cte()}", _unpivot("cm", "class || ':{m}'", by_class)),
+        section("counts", P, "SELECT 'cases' AS name, CAST(count(*) AS DOUBLE) AS value FROM pr UNION ALL SELECT 'misclassified_count', CAST(count_if(label <> prediction) AS DOUBLE) FROM pr "
+                "UNION ALL SELECT 'misclassification_rate', avg(CAST(label <> prediction AS INT)) FROM pr"),
+        section("errors", f"{P}, {CELLS}", "SELECT label || '->' || prediction AS name, CAST(n AS DOUBLE) AS value FROM cells WHERE label <> prediction"),
+        section("auc", f"{P}, {roc_cte('class')}", f"SELECT class AS name, {AREA} AS value FROM ro GROUP BY class"),
+        section("auc", f"{P}, {roc_cte('')}", f"SELECT 'micro' AS name, {AREA} AS value FROM ro"),
+        section("case", P, "SELECT doc_id || ':' || label || '->' || prediction AS name, list_max(p) AS value FROM pr WHERE label <> prediction"),
+        section("fold", f"{FOLDED}, {metrics_cte('fold')}", _unpivot("wm", "fold || ':{m}'", M)),
+        section("cross_validation", f"{FOLDED}, {metrics_cte('fold')}", cv),
+    ]
+    return " UNION ALL ".join(parts)
+
+
+@query("e18_evaluation_bundle", bundle_sql())
 def _(spark, sf):
-    return tidy(e.evaluation_bundle(preds(spark, sf).persist(), CLASSES))
+    folds = stratified_folds(docs(spark, sf).select("doc_id", "lang"), label="lang").select("doc_id", "fold")
+    return tidy(e.evaluation_bundle(preds(spark, sf).join(folds, "doc_id"), CLASSES, fold="fold"))
 
 
 INITIAL = ALL.replace("pr AS (", "pr0 AS (", 1) + ", pr AS (SELECT * FROM pr0 WHERE stage = 'initial')"

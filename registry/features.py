@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from docloom import lexicon
+from docloom.functions.scale import join_side
 from docloom.functions.text import squeeze, unnest, word_tokens, words
 from docloom.operators import features as f
 from docloom.plans import prepare
-from registry.common import SQUEEZED, WORD_TOKENS, count_sql, docs, in_list, load, query, r, tidy, words_of
+from docloom.plans.scaling import VectorScaler
+from docloom.plans.stages import feature_names
+from docloom.sources import tables
+from registry.common import SQUEEZED, WORD_TOKENS, count_sql, docs, in_list, load, query, r, tidy, words_of, workspace
 
 
 def tfidf_cte(tokens: str = WORD_TOKENS, min_df: int = 2, max_df: str = "0.95", limit: int | None = None) -> str:
@@ -161,11 +166,12 @@ def _(spark, sf):
     return tidy(model.getVectors().select("word", F.size(vector_to_array("vector")).alias("width")))
 
 
-# The n-th most frequent word gets the n-th row of the embeddings table as its vector.
+# Every word has a row of the embeddings table as its vector, by the first five digits of its digest.
+DIGIT = "(strpos('0123456789abcdef', substr(md5(term), {k}, 1)) - 1) * {p}"
+WORD_ROW = " + ".join(DIGIT.format(k=k + 1, p=16 ** (4 - k)) for k in range(5))
 VECTORS = f"""
-fr AS (SELECT term, count(*) AS c FROM (SELECT unnest({WORD_TOKENS}) AS term FROM documents) GROUP BY term),
-rk AS (SELECT term, row_number() OVER (ORDER BY c DESC, term) - 1 AS vec_id FROM fr
-  QUALIFY vec_id < (SELECT count(*) FROM embeddings)),
+fr AS (SELECT DISTINCT unnest({WORD_TOKENS}) AS term FROM documents),
+rk AS (SELECT term, ({WORD_ROW}) % (SELECT count(*) FROM embeddings) AS vec_id FROM fr),
 v AS (SELECT term, embedding FROM rk JOIN embeddings USING (vec_id)),
 tk AS (SELECT doc_id, unnest({WORD_TOKENS}) AS term FROM documents),
 e AS (SELECT doc_id, term, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM tk JOIN v USING (term)),
@@ -173,13 +179,10 @@ ids AS (SELECT doc_id, i FROM documents, range(1, 65) AS x(i))"""
 
 
 def _vectors(spark, sf):
-    emb = load(spark, sf, "embeddings")
-    counted = unnest(docs(spark, sf), [], word_tokens(F.col("text")), "word").groupBy("word").agg(F.count("*").alias("c"))
-    n = emb.agg(F.count("*").alias("n")).first()["n"]
-    ranked = counted.orderBy(F.desc("c"), F.asc("word")).limit(n)
-    order = F.array_sort(F.collect_list(F.struct((-F.col("c")).alias("c"), "word")))
-    ids = ranked.agg(order.alias("w")).select(F.posexplode("w").alias("vec_id", "w")).select("vec_id", "w.word")
-    return ids.join(emb, "vec_id").select("word", F.col("embedding").alias("vector"))
+    emb = load(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    words = unnest(docs(spark, sf), [], word_tokens(F.col("text")), "word").distinct()
+    row = F.conv(F.substring(F.md5("word"), 1, 5), 16, 10).cast("long") % emb.agg(F.count("*")).scalar()
+    return join_side(words.withColumn("vec_id", row), emb, "vec_id").select("word", "vector")
 
 
 def _embedding(spark, sf, **options):
@@ -219,12 +222,39 @@ def _(spark, sf):
     return tidy(out.select("doc_id", F.size(F.unwrap_udt("subwords").getField("indices")).alias("buckets")))
 
 
-@query("f17_combined_features")
+STATISTICS = {"word_count": NW, "sentence_count": NP, "avg_sentence_length": f"coalesce({NW} / nullif({NP}, 0), 0)",
+              "avg_word_length": f"coalesce(length(array_to_string({W}, '')) / nullif({NW}, 0), 0)", **COUNTS,
+              "measurement_density": f"coalesce(({' + '.join(COUNTS.values())}) / nullif({NW}, 0), 0)", "avg_syllables_per_word": SYLS,
+              "complex_words_ratio": f"coalesce(len(list_filter({SYL}, lambda c: c > 2)) / nullif({NW}, 0), 0)",
+              "flesch_reading_ease": f"CASE WHEN {NW} > 0 AND {NP} > 0 THEN CAST(206.835 AS DOUBLE) - CAST(1.015 AS DOUBLE) * ({NW} / {NP}) - CAST(84.6 AS DOUBLE) * {SYLS} ELSE 0 END"}
+DENSITY = {"length": NW, "medical_term_density": f"coalesce(len(list_filter({W}, lambda w: lower(w) IN ({in_list(lexicon.GENERAL_TERMS)}))) / nullif({NW}, 0), 0)",
+           "measurement_density": f"coalesce(len(list_filter({W}, lambda w: regexp_matches(w, '[0-9]'))) / nullif({NW}, 0), 0)", "disease_term_density": "0"}
+PLAIN_WEIGHT = (f"CASE WHEN term IN ({in_list(lexicon.GENERAL_TERMS)}) THEN {lexicon.TERM_WEIGHTS['general']} "
+                f"WHEN regexp_matches(term, '\\d') THEN {lexicon.TERM_WEIGHTS['measurement']} ELSE {lexicon.TERM_WEIGHTS['other']} END")
+OWN_ROWS = " UNION ALL ".join(f"SELECT doc_id, '{kind}:{n}' AS feature, CAST({e} AS DOUBLE) AS x FROM documents"
+                              for kind, table in (("density", DENSITY), ("statistics", STATISTICS)) for n, e in table.items())
+
+
+@query("f17_combined_features", f"""WITH {tfidf_cte(limit=1000)},
+x AS (SELECT doc_id, 'tfidf:' || term AS feature, weight * {PLAIN_WEIGHT} AS x FROM u UNION ALL {OWN_ROWS})
+SELECT doc_id, feature, {r('x', 4)} AS value FROM x WHERE x <> 0""")
+def _(spark, sf):
+    """The default features of uncleaned text as one vector; its positions by name, zeros left out."""
+    d = docs(spark, sf).select("doc_id", "text")
+    rows = prepare.fit_text_features(d, clean=False, statistics=True).transform(d)
+    names = F.lit(feature_names(rows))
+    cells = F.transform(vector_to_array("features"), lambda x, i: F.struct(F.get(names, i).alias("feature"), x.alias("value")))
+    return tidy(rows.select("doc_id", F.inline(F.filter(cells, lambda c: c["value"] != 0))), 4)
+
+
+@query("f17_joined_families", f"""SELECT doc_id, feature, {r('x', 4)} AS value FROM (
+  {" UNION ALL ".join(f"SELECT doc_id, 'statistics__{n}' AS feature, CAST({e} AS DOUBLE) AS x FROM documents" for n, e in STATISTICS.items())}
+  UNION ALL {" UNION ALL ".join(f"SELECT doc_id, 'densities__{n}' AS feature, CAST({e} AS DOUBLE) AS x FROM documents" for n, e in DENSITY.items())})""")
 def _(spark, sf):
     d = docs(spark, sf)
-    families = {"statistics": f.statistics(d), "densities": f.densities(d), "entities": f.entity_features(d)}
-    out = f.combine_families(families, ["statistics", "entities"])
-    return tidy(out.select("doc_id", F.size(vector_to_array("features")).alias("width")))
+    out = f.combine_families({"statistics": f.statistics(d), "densities": f.densities(d), "entities": f.entity_features(d)}, ["statistics", "densities"])
+    names = F.lit(feature_names(out))
+    return tidy(out.select("doc_id", F.inline(F.transform(vector_to_array("features"), lambda x, i: F.struct(F.get(names, i).alias("feature"), x.alias("value"))))), 4)
 
 
 SCALED = ["n_chars", "words"]
@@ -265,3 +295,21 @@ tk AS (SELECT doc_id, w AS term FROM tb UNION ALL SELECT doc_id, w || ' ' || w2
 @query("f21_bigram_tfidf", _bigram_sql())
 def _(spark, sf):
     return tidy(f.tfidf(docs(spark, sf), f.bigram_tokens(F.col("text")), max_features=1000))
+
+
+def _fitted(kind, **options):
+    """The embeddings scaled by a stage that is fitted on the classes below 5, saved and loaded again."""
+    def run(spark, sf):
+        emb = load(spark, sf, "embeddings")
+        d = emb.select(F.col("vec_id").alias("doc_id"), "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+        path = workspace(spark, f"scaling-{kind}")
+        tables.save_bundle(PipelineModel([VectorScaler(kind=kind, **options).fit(d.where("label < 5"))]), path)
+        rows = tables.load_bundle(spark, path, ["VectorScalerModel"]).transform(d)
+        return tidy(rows.select("doc_id", F.posexplode(vector_to_array("scaled")).alias("i", "x")), 5)
+    return run
+
+
+EACH = """v AS (SELECT vec_id AS doc_id, label, generate_subscripts(embedding, 1) - 1 AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+s AS (SELECT i, avg(v) AS m, stddev_pop(v) AS d, min(v) AS lo, max(v) AS hi FROM v WHERE label < 5 GROUP BY i)"""
+query("f18_vector_scaling", f"WITH {EACH} SELECT doc_id, i, {r('(v - m) / d', 5)} AS x FROM v JOIN s USING (i)")(_fitted("standard", centre=True))
+query("f19_vector_minmax", f"WITH {EACH} SELECT doc_id, i, {r('(v - lo) / (hi - lo)', 5)} AS x FROM v JOIN s USING (i)")(_fitted("minmax"))

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from docloom.functions.scale import write_side
 from docloom.functions.text import words
 from docloom.operators import classify as c, evaluate as e, splits as s
+from docloom.plans import ensembles
+from docloom.plans.stages import feature_names
 from docloom.sources import metrics, tables
 from registry.common import docs, in_list, load, query, r, tidy, words_of, workspace
 from registry.evaluation import FOLDED, P, fold_metrics, metrics_cte, preds
-from registry.models import text_model, vectors
+from registry.models import final_fit, folded_rows, stack_fits, text_model, vectors, weighted
 from registry.splits import SPLIT, ranked
 
 CSV = StructType([StructField("doc_id", LongType()), StructField("text", StringType()), StructField("lang", StringType())])
@@ -60,6 +64,33 @@ def _(spark, sf):
     return tables.load_prepared(spark, prepared(spark, sf, "io03t"), "test")
 
 
+PARTS = "CASE WHEN vec_id % 5 = 0 THEN 'test' WHEN vec_id % 5 = 1 THEN 'val' ELSE 'train' END"
+
+
+def prepared_set(spark, sf, name, split=None):
+    """The embeddings as a prepared set with named positions, saved and loaded."""
+    d = vectors(spark, sf).withColumn("split", F.expr(PARTS.replace("vec_id", "doc_id")))
+    labels = s.label_index(d)
+    path = workspace(spark, name)
+    tables.save_prepared_set(s.encode_labels(d, labels), labels, path, [f"dim_{i}" for i in range(64)], ["embeddings"])
+    return tables.load_prepared_set(spark, path, split)
+
+
+@query("io03_prepared_features", f"""WITH l AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS k FROM (SELECT DISTINCT label FROM embeddings))
+SELECT doc_id, split, CAST(k AS DOUBLE) AS label_index, 'dim_' || i AS feature, {r('x')} AS value FROM (SELECT vec_id AS doc_id, label, {PARTS} AS split,
+  generate_subscripts(embedding, 1) - 1 AS i, unnest(embedding) AS x FROM embeddings) JOIN l USING (label) WHERE split = 'val'""")
+def _(spark, sf):
+    rows, _labels, manifest = prepared_set(spark, sf, "io03f", "val")
+    names = feature_names(rows, manifest["features"])
+    cells = F.transform(vector_to_array("features"), lambda x, i: F.struct(F.get(F.lit(names), i).alias("feature"), x.alias("value")))
+    return tidy(rows.select("doc_id", "split", "label_index", F.inline(cells)))
+
+
+@query("io03_prepared_labels", "SELECT CAST(label AS DOUBLE) AS label, CAST(row_number() OVER (ORDER BY label) - 1 AS DOUBLE) AS label_index FROM (SELECT DISTINCT label FROM embeddings)")
+def _(spark, sf):
+    return prepared_set(spark, sf, "io03l")[1]
+
+
 @query("io04_prepared_report", f"SELECT split, count(*) AS rows, count(DISTINCT lang) AS classes FROM {PREPARED} GROUP BY split")
 def _(spark, sf):
     return tidy(tables.prepared_report(tables.load_prepared(spark, prepared(spark, sf, "io04")), "lang"))
@@ -111,21 +142,57 @@ def _(spark, sf):
     return tidy(metrics.load_metrics(spark, folder).drop("ts"))
 
 
+def reloaded(spark, name, model, stage):
+    path = workspace(spark, name)
+    tables.save_bundle(PipelineModel([model]), path)
+    return tables.load_bundle(spark, path, [stage])
+
+
+def same_after_reload(spark, name, model, d, stage):
+    """Every row with whether the saved model predicts what the fitted one does, in class and probability."""
+    again = reloaded(spark, name, model, stage)
+    p = F.transform(vector_to_array("probability"), lambda x: F.round(x, 9))
+    mine = model.transform(d).select("doc_id", "label", F.col("prediction").alias("a"), p.alias("p"))
+    its = again.transform(d).select("doc_id", F.col("prediction").alias("b"), p.alias("q"))
+    return tidy(mine.join(its, "doc_id").select("doc_id", "label", ((F.col("a") == F.col("b")) & (F.col("p") == F.col("q"))).alias("same")))
+
+
+SAME = "SELECT vec_id AS doc_id, CAST(label AS DOUBLE) AS label, true AS same FROM embeddings"
+
+
 @query("io07_saved_model")
 def _(spark, sf):
-    d = vectors(spark, sf).persist()
-    path = workspace(spark, "io07")
-    tables.save_bundle(PipelineModel([c.random_forest(trees=5, max_depth=5, weight=None).fit(d)]), path)
-    model = tables.load_bundle(spark, path, ["RandomForestClassificationModel"])
+    d = write_side(vectors(spark, sf))
+    model = reloaded(spark, "io07", c.random_forest(weight=None).fit(d), "RandomForestClassificationModel")
     return tidy(model.transform(d).select("doc_id", "label", "prediction"))
 
 
+@query("io07_saved_bagged_trees", SAME)
+def _(spark, sf):
+    d = weighted(spark, sf)
+    return same_after_reload(spark, "io07b", ensembles.fit_bagged_trees(d, 64, 10, 0.7, 0.5, weight="weight", parallelism=8), d, "BaggedTrees")
+
+
+@query("io07_saved_svm", SAME)
+def _(spark, sf):
+    d = weighted(spark, sf)
+    return same_after_reload(spark, "io07s", ensembles.fit_calibrated_svm(d, parallelism=8), d, "CalibratedSvm")
+
+
+@query("io07_saved_stack", SAME)
+def _(spark, sf):
+    folded = folded_rows(spark, sf, 3)
+    n = folded.count()
+    fits = stack_fits(5, 10)
+    return same_after_reload(spark, "io07k", ensembles.fit_stack(folded, {k: fits[k] for k in ("bagging", "forest")}, final_fit(n)), folded, "Stack")
+
+
 @query("io07_saved_text_model")
 def _(spark, sf):
     model, _labels = text_model(spark, sf)
     path = workspace(spark, "io07t")
     tables.save_bundle(model, path)
-    again = tables.load_bundle(spark, path, ["CountVectorizerModel", "NaiveBayesModel"])
+    again = tables.load_bundle(spark, path, ["CountVectorizerModel", "VectorScalerModel", "NaiveBayesModel"])
     return tidy(again.transform(docs(spark, sf).select("doc_id", "text")).select("doc_id", "prediction"))
 
 

@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from docloom.functions.scale import write_side
 from docloom.functions.text import word_tokens
 from docloom.operators import classify as c, evaluate as e, features as f, splits as s
-from docloom.plans import experiment, prepare
+from docloom.plans import ensembles, experiment, prepare, tuning
+from docloom.plans.scaling import MINMAX, VectorScaler
 from docloom.plans.stages import ShiftFeatures
+from docloom.sources import metrics
 from docloom.streaming import scoring
-from registry.common import WORD_TOKENS, docs, in_list, labelled, load, query, r, tidy, workspace
+from registry.common import WORD_TOKENS, docs, in_list, labelled, lit, load, query, r, tidy, workspace
 from registry.evaluation import CLASSES, all_preds, rule_sql
 
 
+DIMENSIONS = [f"dim_{i}" for i in range(64)]
+
+
 def vectors(spark, sf):
     """The embeddings table as a training table ``(doc_id, label, features)``."""
     emb = load(spark, sf, "embeddings")
@@ -25,13 +31,33 @@ def vectors(spark, sf):
 
 
 def weighted(spark, sf):
-    return c.with_balanced_weights(vectors(spark, sf)).persist()
+    """Training rows with class weights, written once for all passes of a fit."""
+    return write_side(c.with_balanced_weights(vectors(spark, sf)))
+
+
+def folded_rows(spark, sf, k):
+    d = weighted(spark, sf)
+    return write_side(d.join(s.stratified_folds(d, k=k).select("doc_id", "fold"), "doc_id"))
 
 
 def predictions(model, df):
     return tidy(model.transform(df).select("doc_id", "label", "prediction"))
 
 
+def verdicts(model, df):
+    """What holds for every fitted classifier: all rows scored, probabilities that sum to 1, known classes, more right than the largest class has rows."""
+    scored = write_side(model.transform(df).select("doc_id", "label", "prediction", vector_to_array("probability").alias("p")))
+    sizes = scored.groupBy("label").agg(F.count("*").alias("n"), F.count_if(F.col("label") == F.col("prediction")).alias("right"))
+    beats = sizes.agg(F.sum("right") > F.max("n")).scalar()
+    classes = scored.agg(F.max("label")).scalar()
+    total = F.aggregate("p", F.lit(0.0), lambda a, x: a + x)
+    return tidy(scored.select("doc_id", "label", total.alias("probability_sum"), F.col("prediction").between(F.lit(0.0), classes).alias("known_class"),
+                              beats.alias("beats_majority")))
+
+
+VERDICTS = "SELECT vec_id AS doc_id, CAST(label AS DOUBLE) AS label, CAST(1 AS DOUBLE) AS probability_sum, true AS known_class, true AS beats_majority FROM embeddings"
+
+
 NB = f"""
 t AS (SELECT doc_id, lang, term, count(*) AS tf FROM (SELECT doc_id, lang, unnest({WORD_TOKENS}) AS term FROM documents) GROUP BY ALL),
 cnt AS (SELECT term, lang, sum(tf) AS n FROM t GROUP BY term, lang),
@@ -69,28 +95,28 @@ def _(spark, sf):
     return predictions(c.logistic_regression(d.count(), max_iter=1000).fit(d), d)
 
 
-@query("m03_calibrated_svm")
+@query("m03_calibrated_svm", VERDICTS)
 def _(spark, sf):
     d = weighted(spark, sf)
-    return predictions(c.fit_calibrated_svm(d, max_iter=10), d)
+    return verdicts(ensembles.fit_calibrated_svm(d), d)
 
 
-@query("m04_random_forest")
+@query("m04_random_forest", VERDICTS)
 def _(spark, sf):
     d = weighted(spark, sf)
-    return predictions(c.random_forest(trees=20, max_depth=8).fit(d), d)
+    return verdicts(c.random_forest().fit(d), d)
 
 
-@query("m05_bagging")
+@query("m05_bagging", VERDICTS)
 def _(spark, sf):
-    d = vectors(spark, sf).persist()
-    return predictions(c.bagging(trees=10, max_samples=0.7, max_depth=8).fit(d), d)
+    d = write_side(vectors(spark, sf))
+    return verdicts(c.bagging().fit(d), d)
 
 
-@query("m05_feature_bagging")
+@query("m05_feature_bagging", VERDICTS)
 def _(spark, sf):
-    d = vectors(spark, sf).persist()
-    return predictions(c.fit_feature_bagging(d, 64, trees=5, max_samples=0.7, max_features=0.5, max_depth=6), d)
+    d = weighted(spark, sf)
+    return verdicts(ensembles.fit_bagged_trees(d, 64, max_samples=0.7, max_features=0.5, weight="weight", parallelism=8), d)
 
 
 @query("m06_balanced_weights", f"""
@@ -111,17 +137,17 @@ def _(spark, sf):
 @query("m09_fit_report")
 def _(spark, sf):
     d = weighted(spark, sf)
-    split = s.stratified_split(d).select("doc_id", "split")
-    rows = d.join(split, "doc_id")
-    train, val = rows.where("split = 'train'"), rows.where("split = 'val'")
-    model = c.logistic_regression(train.count(), max_iter=50).fit(train)
-    return tidy(c.fit_report(model, {"train": train, "val": val}))
+    rows = write_side(d.join(s.stratified_split(d).select("doc_id", "split"), "doc_id"))
+    sets = {name: rows.where(F.col("split") == name) for name in ("train", "val")}
+    n = sets["train"].count()
+    _model, report = c.fit_with_report(lambda t: c.logistic_regression(n, max_iter=1000).fit(t), sets, DIMENSIONS)
+    return tidy(report.where("section <> 'time'"), 4)
 
 
 @query("m10_checked_predictions")
 def _(spark, sf):
     d = weighted(spark, sf)
-    model = c.logistic_regression(d.count(), max_iter=50).fit(d)
+    model = c.logistic_regression(d.count(), max_iter=1000).fit(d)
     return tidy(c.predict(model, d, width=64, classes=10).select("doc_id", "prediction"))
 
 
@@ -133,20 +159,22 @@ def _(spark, sf):
 
 
 def text_model(spark, sf):
-    """Feature and naive Bayes stages in one model, and the label of each index."""
+    """Cleaning, the default features, their scaling and naive Bayes as one model, and the label of each index."""
     d = docs(spark, sf).select("doc_id", "text", F.col("lang").alias("label"))
     index = s.label_index(d)
-    features = prepare.fit_text_features(d)
-    coded = s.encode_labels(features.transform(d), index)
-    nb = c.naive_bayes(featuresCol="tfidf", labelCol="label_index").fit(coded)
-    return PipelineModel([*features.stages, nb]), [row["label"] for row in index.orderBy("label_index").collect()]
+    cleaned = prepare.clean_once(d)
+    stages = prepare.fit_stages(cleaned, statistics=True)
+    coded = write_side(s.encode_labels(PipelineModel(stages).transform(cleaned), index).select("doc_id", "label_index", "features"))
+    scaler = VectorScaler(kind=MINMAX).fit(coded)
+    nb = c.naive_bayes(featuresCol="scaled", labelCol="label_index").fit(scaler.transform(coded))
+    labels = [row["label"] for row in index.orderBy("label_index").collect()]
+    return PipelineModel([prepare.cleaner(), *stages, scaler, nb]), labels
 
 
 @query("m12_table_scoring")
 def _(spark, sf):
     model, labels = text_model(spark, sf)
-    scored, _rejects = scoring.score_table(model, docs(spark, sf).select("doc_id", "text"), labels)
-    return tidy(scored, 4)
+    return tidy(scoring.score_all(model, docs(spark, sf).select("doc_id", "text"), labels), 4)
 
 
 @query("m13_stream_scoring")
@@ -171,42 +199,54 @@ def _(spark, sf):
     return tidy(c.soft_vote(p, {"five": 1.5, "one": 1.0}, CLASSES).select("doc_id", "prediction", "confidence"))
 
 
-@query("m16_stacking")
+def stack_fits(bagged=50, trees=100, iterations=100):
+    """The three base models of the stack."""
+    return {"bagging": lambda t: ensembles.fit_bagged_trees(t, 64, bagged, 0.5, 0.3, parallelism=8),
+            "forest": lambda t: c.random_forest(trees, min_leaf=2).fit(t),
+            "svm": lambda t: ensembles.fit_calibrated_svm(t, C=0.5, max_iter=iterations, folds=2, parallelism=8)}
+
+
+def final_fit(n):
+    return lambda t, col: c.logistic_regression(n, C=0.3, max_iter=1000, featuresCol=col).fit(t)
+
+
+@query("m16_stacking", VERDICTS)
 def _(spark, sf):
-    d = weighted(spark, sf)
-    folded = d.join(s.stratified_folds(d, k=3).select("doc_id", "fold"), "doc_id").persist()
+    folded = folded_rows(spark, sf, 3)
     n = folded.count()
-    fits = {"forest": lambda t: c.random_forest(trees=5, max_depth=4).fit(t),
-            "logit": lambda t: c.logistic_regression(n, C=0.5, max_iter=20).fit(t)}
-    stack = c.fit_stack(folded, fits, lambda t, col: c.logistic_regression(n, C=0.3, max_iter=20, featuresCol=col).fit(t))
-    return tidy(stack.transform(d).select("doc_id", "label", "prediction"))
+    # the whole sizes (50, 100, 100) take four times the fits of m03, m04 and m05 (README)
+    return verdicts(ensembles.fit_stack(folded, stack_fits(10, 20, 10), final_fit(n)), folded)
 
 
 @query("m17_early_stopped_fit")
 def _(spark, sf):
     d = weighted(spark, sf)
-    rows = d.join(s.stratified_split(d).select("doc_id", "split"), "doc_id").persist()
+    rows = write_side(d.join(s.stratified_split(d).select("doc_id", "split"), "doc_id"))
     train, val = rows.where("split = 'train'"), rows.where("split = 'val'")
     n = train.count()
     best, _history = c.fit_until_no_gain([1, 5, 10, 20, 40], lambda i: c.logistic_regression(n, max_iter=i).fit(train), val, patience=2)
     return predictions(best, d)
 
 
-@query("m19_grid_search")
+#: Forests, SVMs and bagged trees are searched in the same way; their grids take minutes to hours (README).
+SEARCHED = ("naive_bayes", "logistic_regression")
+POINTS = " UNION ALL ".join(f"SELECT '{m}' AS model, {lit(json.dumps(p, sort_keys=True))} AS setting" for m in SEARCHED for p in tuning.points(tuning.GRIDS[m]))
+
+
+@query("m19_grid_search", f"SELECT model, setting, CAST(f.fold AS BIGINT) AS fold, true AS scored FROM ({POINTS}), (SELECT unnest(range(5)) AS fold) AS f")
 def _(spark, sf):
-    d = weighted(spark, sf)
-    folded = d.join(s.stratified_folds(d, k=3).select("doc_id", "fold"), "doc_id").persist()
-    lr = LogisticRegression(maxIter=10, weightCol="weight")
-    grid = ParamGridBuilder().addGrid(lr.regParam, [0.01, 0.1]).build()
-    _best, scores = c.grid_search(folded, lr, grid, k=3)
-    return tidy(scores, 4)
+    folded = folded_rows(spark, sf, 5)
+    folder = workspace(spark, f"m19/{spark.range(1).select(F.expr('uuid()')).first()[0]}")
+    scores = tuning.search(folded, tuning.candidates(SEARCHED, 64), folder, parallelism=4)
+    within = [F.col(m).between(0.0, 1.0) for m in e.METRICS]
+    return tidy(scores.select("model", "setting", "fold", (within[0] & within[1] & within[2] & within[3]).alias("scored")))
 
 
 @query("e24_feature_importances")
 def _(spark, sf):
     d = weighted(spark, sf)
-    model = c.random_forest(trees=10, max_depth=5).fit(d)
-    top = c.feature_importances(model, [f"dim_{i}" for i in range(64)], 10)
+    model = c.random_forest().fit(d)
+    top = c.feature_importances(model, DIMENSIONS, 10)
     return tidy(spark.createDataFrame(top, "feature string, importance double"), 4)
 
 
@@ -214,11 +254,12 @@ def _(spark, sf):
 def _(spark, sf):
     d = weighted(spark, sf)
     n = d.count()
-    run = experiment.run_experiment(d, lambda t: c.logistic_regression(n, max_iter=20).fit(t), "embeddings", k=3,
-                                    stratified=True, feature_names=[f"dim_{i}" for i in range(64)])
-    return tidy(run.fold_metrics, 4)
-
-
+    folder = workspace(spark, f"e26/{spark.range(1).select(F.expr('uuid()')).first()[0]}")
+    run = experiment.run_experiment(d, lambda t: c.logistic_regression(n, max_iter=1000).fit(t), "embeddings", folder, k=5,
+                                    stratified=True, feature_names=DIMENSIONS)
+    logged = metrics.load_metrics(spark, folder, "embeddings").where("metric_type IN ('train', 'val', 'final')")
+    assert run.final_metrics.count() == 1
+    return tidy(logged.select("metric_type", "step", "name", "value"), 4)
 
 
 @query("e25_vector_correlations", """
@@ -227,4 +268,4 @@ SELECT 'dim_' || a.i AS feature_a, 'dim_' || b.i AS feature_b, round(corr(a.v, b
 FROM x a JOIN x b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY a.i, b.i""")
 def _(spark, sf):
     d = vectors(spark, sf)
-    return tidy(e.vector_correlations(d, [f"dim_{i}" for i in range(64)]), 5)
+    return tidy(e.vector_correlations(d, DIMENSIONS), 5)

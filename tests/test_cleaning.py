@@ -168,10 +168,11 @@ def test_ordered_chain(step):
 
 
 def test_cleaning_run_figures(step):
-    row = step(n.cleaning_run, "a:b 12 drug " + "x" * 9000)
-    s = row["stats"]
-    assert s["original_length"] == 9012 and s["processed_length"] <= 9000
+    text = "a:b 12 drug " + "x" * 9000
+    s = step(n.cleaning_run, text)["stats"]
+    assert s["original_length"] == 9012 and s["processed_length"] >= 9000
     assert s["special_chars_removed"] == 1 and s["numbers_found"] == 1 and s["medical_terms_preserved"] == 1
+    assert step(n.cleaning_run, text, n.CleaningConfig(max_length=9000))["stats"]["processed_length"] <= 9000
 
 
 def test_run_lengths(one):

@@ -3,12 +3,11 @@
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from docloom.operators import classify as c, features as f, splits as s
 from docloom.functions.text import word_tokens
-from docloom.plans import experiment, prepare
+from docloom.plans import ensembles, experiment, prepare
 from docloom.plans.stages import ShiftFeatures
 from docloom.sources import metrics, tables
 from docloom.streaming import scoring
@@ -31,8 +30,8 @@ def accuracy(model, df):
     lambda d: c.logistic_regression(240, max_iter=30).fit(d),
     lambda d: c.random_forest(trees=5, max_depth=4).fit(d),
     lambda d: c.bagging(trees=5, max_samples=0.7, max_depth=4).fit(d),
-    lambda d: c.fit_feature_bagging(d, 4, trees=5, max_features=0.75, max_depth=4),
-    lambda d: c.fit_calibrated_svm(d, max_iter=10, rows=240),
+    lambda d: ensembles.fit_bagged_trees(d, 4, trees=5, max_features=0.75, max_depth=4, weight="weight"),
+    lambda d: ensembles.fit_calibrated_svm(d, max_iter=10),
 ])
 def test_models_learn(clusters, fit):
     model = fit(clusters)
@@ -67,19 +66,10 @@ def test_stacking(clusters):
     folded = clusters.join(s.stratified_folds(clusters, k=3).select("doc_id", "fold"), "doc_id").persist()
     fits = {"forest": lambda t: c.random_forest(trees=3, max_depth=3).fit(t),
             "logit": lambda t: c.logistic_regression(240, max_iter=10).fit(t)}
-    stack = c.fit_stack(folded, fits, lambda t, col: c.logistic_regression(240, C=0.3, max_iter=10, featuresCol=col).fit(t))
+    stack = ensembles.fit_stack(folded, fits, lambda t, col: c.logistic_regression(240, C=0.3, max_iter=10, featuresCol=col).fit(t))
     assert accuracy(stack, clusters) > 0.85
 
 
-def test_grid_search_keeps_all_scores(clusters):
-    folded = clusters.join(s.stratified_folds(clusters, k=2).select("doc_id", "fold"), "doc_id").persist()
-    lr = c.logistic_regression(240, max_iter=5)
-    best, scores = c.grid_search(folded, lr, ParamGridBuilder().addGrid(lr.regParam, [0.01, 10.0]).build(), k=2)
-    rows = scores.collect()
-    assert len(rows) == 4 and {r["setting"] for r in rows} == {0, 1}
-    assert accuracy(best, clusters) > 0.85
-
-
 def test_early_stop():
     class Fake:
         def __init__(self, score):
@@ -113,8 +103,10 @@ def test_experiment_logs_and_importances(spark, clusters, tmp_path):
     assert run.fold_metrics.count() == 4
     weights = [w for _, w in run.importances]
     assert weights == sorted(weights, reverse=True) and len(weights) == 4
+    assert run.final_metrics.count() == 1
     logged = metrics.load_metrics(spark, folder, "exp")
     assert logged.where("metric_type = 'val'").count() == 8 and logged.where("metric_type = 'importance'").count() == 4
+    assert logged.where("metric_type = 'final'").count() == 4 and logged.where("metric_type = 'fold_importance'").count() == 8
 
 
 def test_text_model_saved_and_streamed(spark, sf, tmp_path):

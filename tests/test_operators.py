@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.functions.scale import fetch_side, hash_rank, hot_join, join_side, running_totals, top_rows
+from docloom.functions.scale import hash_rank, hot_join, join_side, running_totals, top_rows
 from docloom.functions.text import plain_word_tokens, word_tokens
 from docloom.operators import evaluate as e, features as f, profile as p, splits as s, vocabulary as v
 
@@ -55,11 +55,6 @@ def test_side_joins_equal_join(skewed, how):
     assert Counter(map(tuple, beyond)) == plain
 
 
-def test_fetch_side_is_bounded(skewed):
-    assert fetch_side(skewed, 10) is None
-    assert len(fetch_side(skewed.limit(10), 10)) == 10
-
-
 def test_top_rows_limits_before_the_shuffle(skewed):
     top = top_rows(skewed, ["label"], [F.desc("v"), F.asc("doc_id")], 3)
     plan = top._jdf.queryExecution().executedPlan().toString()

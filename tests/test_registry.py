@@ -11,7 +11,11 @@ from __spark_entry__ import entry, oracle_sql, queries
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
 ORACLE = oracle_sql()
-SLOW = {"m03_calibrated_svm", "m16_stacking", "m19_grid_search", "e26_experiment"}  # covered in test_models
+#: Whole trainings, whose library code has tests of its own (test_models, test_ensembles).
+SLOW = {"m03_calibrated_svm", "m04_random_forest", "m05_bagging", "m05_feature_bagging", "m16_stacking", "m19_grid_search", "e24_feature_importances",
+        "e26_experiment", "io07_saved_model", "io07_saved_bagged_trees", "io07_saved_svm", "io07_saved_stack"}
+#: The training-data queries are tested in tests/llm.
+OWN = {q for q in queries() if q not in SLOW and not q.startswith("op") and q != "pipeline"}
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +32,7 @@ def plain(v):
     return v
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(OWN & set(ORACLE)))
 def test_same_as_sql(spark, sf, duck, name):
     df = queries()[name](spark, sf)
     columns = sorted(df.columns)
@@ -40,7 +44,7 @@ def test_same_as_sql(spark, sf, duck, name):
     assert got == Counter(tuple(plain(r[i]) for i in order) for r in rel.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(ORACLE) - SLOW))
+@pytest.mark.parametrize("name", sorted(OWN - set(ORACLE)))
 def test_gives_rows(spark, sf, name):
     assert queries()[name](spark, sf).count() > 0
 
