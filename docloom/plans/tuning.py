@@ -52,7 +52,7 @@ def points(grid: dict[str, list]) -> list[dict]:
 
 def fit_naive_bayes(train: DataFrame, alpha: float = 1.0, fit_prior: bool = True, label: str = "label", features: str = "features") -> Model:
     """Multinomial on min-max scaled features. Without priors the prediction divides by them, as MLlib always learns them; probabilities keep them."""
-    scaler = VectorScaler(inputCol=features, outputCol="_scaled", kind=MINMAX).fit(train)
+    scaler = VectorScaler(inputCol=features, outputCol="_scaled", kind=MINMAX, clip=True).fit(train)
     model = classify.naive_bayes(alpha, featuresCol="_scaled", labelCol=label).fit(scaler.transform(train))
     if not fit_prior:
         model = model.setThresholds([math.exp(x) for x in model.pi.toArray()])

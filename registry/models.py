@@ -165,7 +165,7 @@ def text_model(spark, sf):
     cleaned = prepare.clean_once(d)
     stages = prepare.fit_stages(cleaned, statistics=True)
     coded = write_side(s.encode_labels(PipelineModel(stages).transform(cleaned), index).select("doc_id", "label_index", "features"))
-    scaler = VectorScaler(kind=MINMAX).fit(coded)
+    scaler = VectorScaler(kind=MINMAX, clip=True).fit(coded)
     nb = c.naive_bayes(featuresCol="scaled", labelCol="label_index").fit(scaler.transform(coded))
     labels = [row["label"] for row in index.orderBy("label_index").collect()]
     return PipelineModel([prepare.cleaner(), *stages, scaler, nb]), labels

@@ -71,6 +71,13 @@ def test_scaling_with_nulls_and_names(spark):
     assert [r["features"] if r["features"] is None else list(r["features"].toArray()) for r in out.collect()] == [[-1.0, 0.0], None, [1.0, 0.0]]
 
 
+def test_clipped_scaling_stays_in_range(spark):
+    """Rows beyond the fitted range, which naive Bayes would reject."""
+    fitted, new = rows_of(spark, [Vectors.dense([1.0, 0.0]), Vectors.dense([3.0, 4.0])]), rows_of(spark, [Vectors.dense([0.0, 5.0]), Vectors.dense([2.0, -1.0])])
+    assert dense(VectorScaler(kind=MINMAX).fit(fitted).transform(new)).tolist() == [[-0.5, 1.25], [0.5, -0.25]]
+    assert dense(VectorScaler(kind=MINMAX, clip=True).fit(fitted).transform(new)).tolist() == [[0.0, 1.0], [0.5, 0.0]]
+
+
 def test_mean_as_intercept_shift(clusters):
     plain, centred = (VectorScaler(centre=x).fit(clusters) for x in (False, True))
     fit = lambda m: LogisticRegression(featuresCol="scaled", family="multinomial", regParam=0.01, standardization=False, maxIter=300, tol=1e-12).fit(m.transform(clusters))
