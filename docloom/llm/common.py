@@ -15,8 +15,8 @@ from docloom.session import shared_folder
 #: Separator class of the word definition ``[^\x20\x09-\x0D]+``, as a Java pattern.
 BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
-#: A side is broadcast only when the files it was written to stay below this.
-BROADCAST_BYTES = 32 << 20
+#: A side is broadcast only when the Parquet files it was written to stay below this. Decoded rows take up to six times as much (measured), so some 100 MB.
+BROADCAST_BYTES = 16 << 20
 
 
 def load(spark: SparkSession, sf: str, table: str) -> DataFrame:

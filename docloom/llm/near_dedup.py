@@ -5,11 +5,15 @@ one group from each makes the key of a table, so ``GROUPS ** 2`` tables of ``2 *
 computations, about the square root. A table key is formed only where both halves are shared with another document: a table can have
 no candidates elsewhere. At a similarity of 0.8 a pair is missed with a probability of 7e-6 by the default sizes, at 0.85 of 2e-8.
 
-Documents with equal shingle sets are one node from the start. Candidates of a table are checked in stars: every member of
-a bucket against one chosen member. What is then confirmed is one component, and only members outside of their bucket's largest component are
-compared with the rest of it, pair by pair. Two exact bounds go before any comparison of sets: the sizes, and the parity sketch of
-``SKETCH`` bits, whose Hamming distance never exceeds the symmetric difference. So a large group of near copies costs a few stars, not its pairs,
-and no link that the tables offer is lost. All links are confirmed on the full sets of 64-bit shingle hashes.
+Documents with equal shingle sets are one node from the start. Candidates are checked in rounds of stars: each bucket that holds more than one
+component has a head, its member with the smallest hash of the round, and a node is compared with the ``HEADS`` smallest heads of its buckets that are not
+in its component. The buckets are the tables in the first round, and the halves of their keys after that, which are fewer. A round so costs ``HEADS`` pairs
+a node at most, and few heads serve many nodes: a large group of near copies, of which not all are similar to each other, becomes one component
+in ``ROUNDS`` rounds, without its pairs. What is then left of a table's pairs between components is tried in
+full, so no link that the tables offer is lost: nodes with one half of a key in common meet in blocks of ``BLOCK`` rows, those outside of the half's largest
+component against all, and a pair is tried where its first common half is, if it also has a common half in the other collection. Two exact bounds go before any comparison of sets: the sizes,
+and the parity sketch of ``SKETCH`` bits, whose Hamming distance never exceeds the symmetric difference. All links are confirmed on the full
+sets of 64-bit shingle hashes.
 
 Defined cases: null text, or text without words, has no shingles and is linked with nothing; texts shorter than a shingle are
 one shingle; rows with the same ``doc_id`` are one document; rows without ``doc_id`` come last as smallest document and cannot be told apart; an
@@ -24,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docloom.llm.common import guarded, settle
 from docloom.llm.components import connected
@@ -32,7 +36,8 @@ from docloom.llm.components import connected
 GROUPS, ROWS = 24, 4
 SKETCH = 2048
 PERCENT = 80
-STARS = 2
+ROUNDS, HEADS = 3, 8
+BLOCK = 1024
 M1, M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
@@ -141,8 +146,15 @@ def could_link(n: str, m: str, s: str, t: str, percent: int) -> Column:
     return sizes & (apart * (100 + percent) <= (100 - percent) * (F.col(n) + F.col(m)))
 
 
+def fitting(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` (``u, v`` and more) that pass the exact bounds."""
+    left = facts.select(F.col("node").alias("u"), F.col("n_shingles").alias("nu"), F.col("sketch").alias("su"))
+    right = facts.select(F.col("node").alias("v"), F.col("n_shingles").alias("nv"), F.col("sketch").alias("sv"))
+    return pairs.join(left, "u").join(right, "v").where(could_link("nu", "nv", "su", "sv", percent)).select(*pairs.columns)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
-    """The ``pairs`` (``u, v``) whose full sets are at least ``percent`` similar, settled."""
+    """The labels ``lu, lv`` of the ``pairs`` (``u, v, lu, lv``) whose full sets are at least ``percent`` similar, settled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -151,11 +163,77 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> Dat
                 common = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(100 * common >= percent * (len(a) + len(b) - common))
             part = batch.filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["u", "v"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["lu", "lv"])
 
     with_u = pairs.join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("hu")), "u")
     both = with_u.join(sets.select(F.col("node").alias("v"), F.col("hashes").alias("hv")), "v")
-    return settle(both.select("u", "v", "hu", "hv").mapInArrow(run, "u long, v long"), name)
+    return settle(both.select("lu", "lv", "hu", "hv").mapInArrow(run, "lu long, lv long"), name)
+
+
+def stars(state: DataFrame, turn: int) -> DataFrame:
+    """At most ``HEADS`` pairs ``u, v, lu, lv`` per node of ``state`` (``bucket, node, label``): the node and heads of its buckets with other labels."""
+    rank = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("v"), F.col("label").alias("lv"))
+    heads = state.groupBy("bucket").agg(F.min(rank).alias("head"))
+    met = state.join(heads, "bucket").where("label <> head.lv").groupBy("node", "label").agg(F.collect_set("head").alias("heads"))  # one per table at most
+    return met.select(F.col("node").alias("u"), F.col("label").alias("lu"), F.inline(F.slice(F.array_sort("heads"), 1, HEADS))).select("u", "v", "lu", "lv")
+
+
+def relabelled(df: DataFrame, moves: DataFrame, name: str) -> DataFrame:
+    """``df`` with its ``label`` after ``moves`` (``node, label``: old and new label), settled."""
+    to = guarded(moves.select(F.col("node").alias("label"), F.col("label").alias("_to")))
+    return settle(df.join(to, "label", "left").withColumn("label", F.coalesce("_to", "label")).select(*df.columns), name)
+
+
+def mixed_buckets(state: DataFrame, name: str) -> DataFrame:
+    """The rows of buckets with more than one label, settled."""
+    several = state.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("bucket")
+    return settle(state.join(several, "bucket", "left_semi"), name)
+
+
+def pairs_left(nodes: DataFrame, percent: int, groups: int = GROUPS) -> DataFrame:
+    """``u, v, lu, lv``: all pairs of ``nodes`` (``node, label, n_shingles, keys, sketch``) with a common table, different labels and sketches that fit; settled.
+
+    A group is at most ``BLOCK`` rows outside of a half's largest component and ``BLOCK`` of all its rows, whatever the half holds.
+    """
+    wide = nodes.select("node", "label", "n_shingles", "keys", "sketch", F.posexplode(F.slice("keys", 1, groups)).alias("slot", "half"))
+    sizes = wide.groupBy("half", "label").agg(F.count(F.lit(1)).alias("n"))
+    main = (sizes.groupBy("half").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("all")).where(F.col("all") > F.col("m.n"))
+            .select("half", F.col("m.label").alias("main"), F.ceil((F.col("all") - F.col("m.n")) / BLOCK).cast("int").alias("lefts"),
+                    F.ceil(F.col("all") / BLOCK).cast("int").alias("rights")))
+    active = settle(wide.join(main, "half").withColumn("outside", F.col("label") != F.col("main")), "active")
+    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["half", "slot", "node", "label", "n_shingles", "keys", "sketch", "outside"]
+    left = active.where("outside").select(*columns, F.lit(True).alias("left"), block("lefts").alias("lb"), every("rights").alias("rb"))
+    right = active.select(*columns, F.lit(False).alias("left"), block("rights").alias("rb"), every("lefts").alias("lb"))
+
+    def fit(table: pa.Table) -> pa.Table:
+        mine = table.column("left").to_numpy(zero_copy_only=False)
+        flat = lambda name, width: table.column(name).combine_chunks().flatten().to_numpy().reshape(-1, width)
+        slot = table.column("slot")[0].as_py()
+        node, label, n, out = (table.column(c).to_numpy() for c in ("node", "label", "n_shingles", "outside"))
+        keys, sketch = flat("keys", 2 * groups), flat("sketch", SKETCH // 64).view(np.uint64)
+        a, b = np.flatnonzero(mine), np.flatnonzero(~mine)
+        least, most = np.minimum(n[a][:, None], n[b]), np.maximum(n[a][:, None], n[b])
+        u, v = np.nonzero((label[a][:, None] != label[b]) & (~out[b] | (node[a][:, None] < node[b])) & (100 * least >= percent * most))
+        u, v = a[u], b[v]
+        for k in range(slot):  # a pair is tried at its first common half
+            apart = keys[u, k] != keys[v, k]
+            u, v = u[apart], v[apart]
+        common = np.zeros(len(u), bool)
+        for k in range(groups, 2 * groups):
+            common |= keys[u, k] == keys[v, k]
+        u, v = u[common], v[common]
+        found = []
+        for at in range(0, len(u), 1 << 16):
+            x, y = u[at:at + (1 << 16)], v[at:at + (1 << 16)]
+            differ = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int64)
+            near = differ * (100 + percent) <= (100 - percent) * (n[x] + n[y])
+            found.append((node[x[near]], node[y[near]], label[x[near]], label[y[near]]))
+        columns = [np.concatenate(c) if found else np.empty(0, np.int64) for c in (zip(*found) if found else [()] * 4)]
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["u", "v", "lu", "lv"])
+
+    return settle(left.unionByName(right).groupBy("half", "lb", "rb").applyInArrow(fit, "u long, v long, lu long, lv long"), "rest")
 
 
 def candidate_tables(nodes: DataFrame, groups: int = GROUPS) -> DataFrame:
@@ -175,39 +253,25 @@ def candidate_tables(nodes: DataFrame, groups: int = GROUPS) -> DataFrame:
 
 def links(docs: DataFrame, nodes: DataFrame, words: int, percent: int, text: str = "text") -> DataFrame:
     """``node, label``: components of the nodes that have a confirmed link."""
-    spark = docs.sparkSession
     members = candidate_tables(nodes)
     facts = settle(nodes.join(members.select("node").distinct(), "node").select("node", "fp", "n_shingles", "sketch"), "candidates")
     sets = shingle_sets(docs, words, facts.select("node", "fp"), text)
-    left = facts.select(F.col("node").alias("u"), F.col("n_shingles").alias("nu"), F.col("sketch").alias("su"))
-    right = facts.select(F.col("node").alias("v"), F.col("n_shingles").alias("nv"), F.col("sketch").alias("sv"))
-    fits = could_link("nu", "nv", "su", "sv", percent)
-
-    edges = spark.createDataFrame([], "u long, v long")
-    labels = spark.createDataFrame([], "node long, label long")
-    state = members.withColumn("label", F.col("node"))
-    for turn in range(STARS):
-        rank = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("u"), F.col("label").alias("lu"))
-        heads = state.groupBy("bucket").agg(F.min(rank).alias("head"), F.min("label").alias("a"), F.max("label").alias("b")).where("a < b")
-        stars = (state.join(heads.select("bucket", "head.u", "head.lu"), "bucket").where("label <> lu")
-                 .select(F.least("node", "u").alias("u"), F.greatest("node", "u").alias("v")).distinct())
-        pairs = settle(stars.join(left, "u").join(right, "v").where(fits).select("u", "v"), f"stars-{turn}")
-        edges = edges.union(confirmed(pairs, sets, percent, f"star-links-{turn}"))
-        labels = connected(edges, f"near-{turn}")
-        state = settle(members.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label")), f"members-{turn}")
-
-    # what is outside of a bucket's largest component meets all other components of the bucket
-    sizes = state.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = (sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("m"), F.count(F.lit(1)).alias("k")).where("k > 1")
-            .select("bucket", F.col("m.label").alias("main")))
-    active = settle(state.join(main, "bucket").join(facts.drop("fp"), "node"), "active")
-    outside = active.where("label <> main").select("bucket", F.col("node").alias("u"), F.col("label").alias("lu"), F.col("n_shingles").alias("nu"), F.col("sketch").alias("su"))
-    others = active.select("bucket", F.col("node").alias("v"), F.col("label").alias("lv"), F.col("n_shingles").alias("nv"), F.col("sketch").alias("sv"),
-                           (F.col("label") == F.col("main")).alias("in_main"))
-    met = (outside.join(others, "bucket").where((F.col("lu") != F.col("lv")) & (F.col("in_main") | (F.col("u") < F.col("v"))) & fits)
-           .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-    edges = edges.union(confirmed(settle(met, "rest"), sets, percent, "rest-links"))
-    return connected(edges, "near")
+    labels = settle(facts.select("node", F.col("node").alias("label")), "labels")
+    state = members.withColumn("label", F.col("node"))  # every bucket has nodes of several labels
+    for turn in range(ROUNDS):
+        pairs = settle(fitting(stars(state, turn), facts, percent), f"stars-{turn}")
+        linked = confirmed(pairs, sets, percent, f"star-links-{turn}")
+        moves = connected(linked.select(F.col("lu").alias("u"), F.col("lv").alias("v")), f"near-{turn}")
+        labels = relabelled(labels, moves, f"labels-{turn}")
+        if turn == 0:
+            state = nodes.select("node", F.explode("keys").alias("bucket")).join(guarded(labels), "node")
+        else:
+            state = relabelled(state, moves, f"state-{turn}")
+        state = mixed_buckets(state, f"mixed-{turn}")
+
+    open_ = settle(state.select("node", "label").distinct().join(nodes.select("node", "n_shingles", "keys", "sketch"), "node"), "open-nodes")
+    linked = confirmed(pairs_left(open_, percent), sets, percent, "rest-links")
+    return relabelled(labels, connected(linked.select(F.col("lu").alias("u"), F.col("lv").alias("v")), "near"), "labels")
 
 
 def near_groups(docs: DataFrame, words: int = 4, percent: int = PERCENT, text: str = "text") -> DataFrame:
@@ -218,9 +282,9 @@ def near_groups(docs: DataFrame, words: int = 4, percent: int = PERCENT, text: s
     nodes = settle(nodes.select("node", "doc_id", "fp", "n_shingles", "keys", "sketch"), "nodes")
     labels = links(docs, nodes, words, percent, text)
     classes = sets.select("fp", "first", F.col("first.row").alias("node")).join(labels, "node", "left")
-    label = F.coalesce("label", "node")
-    whole = Window.partitionBy("group")
-    best = settle(classes.withColumn("group", label).withColumn("best", F.min("first").over(whole)).select("fp", F.col("best.id").alias("best_id")), "near-classes")
+    classes = settle(classes.select("fp", "first", F.coalesce("label", "node").alias("group")), "near-groups")
+    least = guarded(settle(classes.groupBy("group").agg(F.min("first").alias("best")).select("group", F.col("best.id").alias("best_id")), "near-least"))
+    best = settle(classes.join(least, "group").select("fp", "best_id"), "near-classes")
     return rows.join(best, "fp", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("best_id")).otherwise(F.col("doc_id")).alias("component_id"), "fp") \
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
