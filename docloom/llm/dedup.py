@@ -17,9 +17,9 @@ after all others; of rows with the same text and ``doc_id`` exactly one stays; a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from docloom.llm.common import BLANK, blank_text, settle
+from docloom.llm.common import BLANK, blank_text, guarded, settle
 
 FAN_BITS = 3
 KEY = ["sha", "len", "alt"]
@@ -38,14 +38,15 @@ def digests(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def merge_runs(rows: DataFrame, lanes: int | None = None, fan_bits: int = FAN_BITS) -> DataFrame:
-    """Root of the trees: per digest ``keep_id``, ``keep_rid`` and ``group_size``."""
+    """Root of the trees: per digest ``keep_id``, ``keep_rid`` and ``group_size``. A column ``tie`` decides between rows of one ``doc_id``."""
     spark = rows.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     lanes = lanes or width
     # rid is monotonically_increasing_id: its upper bits number the input partition
     first = F.shiftright("rid", 33)
     runs = rows.withColumn("run", first).withColumn("lane", F.pmod("alt", F.lit(lanes)))
-    best = F.struct(F.col("doc_id").isNull().alias("null_id"), F.col("doc_id"), F.col("rid"))
+    ties = [F.col("tie")] if "tie" in rows.columns else []
+    best = F.struct(F.col("doc_id").isNull().alias("null_id"), F.col("doc_id"), *ties, F.col("rid"))
     level = runs.groupBy("lane", "run", *KEY).agg(F.min(best).alias("best"), F.count(F.lit(1)).alias("n"))
     most = rows.select(F.max(first)).first()[0] or 0
     while most > 0:
@@ -74,18 +75,16 @@ def exact_groups(docs: DataFrame, text: str = "text") -> DataFrame:
 def drop_copies(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the rows that ``exact_groups`` drops; columns unchanged.
 
-    The wide rows meet the dropped ones by digest and ``doc_id``, so no group of copies gathers in one task. Of several
-    rows with one text and one ``doc_id``, the one with the smallest hash of all columns stays; they are found in the same shuffle.
+    Documents are written with their digests and row numbers; the dropped row numbers are found on the narrow columns and meet the documents by
+    broadcast while their table is small, else in one shuffle. Of several rows with one text and one ``doc_id``, the one with the smallest hash
+    of all columns stays.
     """
-    ident = [F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_null")]
-    keys = ["_sha", "_len", "_alt", "_id", "_null"]
-    rows = digests(docs, text)
-    groups = settle(merge_runs(rows).where("group_size > 1"), "copies")
-    lost = (rows.join(groups, KEY).where("NOT doc_id <=> keep_id")
-            .select(F.col("sha").alias("_sha"), F.col("len").alias("_len"), F.col("alt").alias("_alt"), *ident).distinct())
     t = normalised(text)
-    wide = docs.select("*", F.unhex(F.sha2(t, 256)).alias("_sha"), F.octet_length(t).alias("_len"), F.xxhash64(t).alias("_alt"),
-                       *ident, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("_tie"))
-    left = wide.join(settle(lost, "lost"), keys, "left_anti")
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy("_tie"))
-    return left.withColumn("_first", first).where("_first = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    named = settle(docs.select(row.alias("_row"), F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
+                               F.unhex(F.sha2(t, 256)).alias("sha"), F.octet_length(t).alias("len"), F.xxhash64(t).alias("alt"),
+                               F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("tie")), "digested-documents")
+    rows = named.drop("_row")
+    groups = settle(merge_runs(rows).where("group_size > 1"), "copies")
+    lost = settle(rows.join(groups, KEY).where("rid <> keep_rid").select("rid"), "lost")
+    return named.join(guarded(lost), "rid", "left_anti").select("_row.*")
