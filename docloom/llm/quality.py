@@ -189,8 +189,9 @@ def verdicts(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents that ``verdicts`` rejects; columns unchanged.
 
-    Documents are written with their measures, without those that fail the base rule, and read again: no text is measured twice or shuffled.
+    Documents are written with their measures and read again: no text is measured twice or shuffled. The base rule is applied to what was written,
+    since a filter on a measure before that would compute it a second time.
     """
     named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "lang", "source", "text")
-    measured = settle(rule_values(measures(named).drop("text")).where("NOT base_failed"), "measured-documents")
+    measured = settle(rule_values(measures(named).drop("text")), "measured-documents").where("NOT base_failed")
     return with_verdict(measured, thresholds(measured.drop("_row"))).where("kept").select("_row.*")
