@@ -263,7 +263,7 @@ def document_embeddings(df: DataFrame, tokens: Column, vectors: DataFrame, id: s
 
     ``vectors(word, vector array<float>)``. With ``weighted_terms`` those words count ``weight``
     times. A word is counted inside its document first; vectors are then added as a
-    JVM aggregate, and a short vector table is broadcast while a long one is joined salted.
+    JVM aggregate; a vector table whose files are small is broadcast, a larger one shuffled, where adaptive execution splits frequent words.
     """
     counts = term_counts(df, tokens, id).withColumnRenamed("term", "word")
     table = vectors.select("word", array_to_vector(F.col("vector").cast("array<double>")).alias("v"))
