@@ -25,6 +25,7 @@ MOST = 2.0
 BLOCK_WORDS = 16
 SHARD_ROWS = 2_000
 SHARD_WORDS = 2_000_000
+CELL = ["_source", "_shard"]
 
 
 def size_of(text: str = "text"):
@@ -76,9 +77,9 @@ def apportion(cells: DataFrame, group: Sequence[str], votes: str, seats: str, ou
     return ranked.groupBy(*cells.columns).agg((F.max("_low") + F.sum("_wins")).alias(out))
 
 
-def plan_mix(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 17,
-             block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``sized`` (settled rows with ``doc_id``, ``source``, ``size``) with ``source_size``, ``target`` and ``taken``."""
+def shard_quotas(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 17,
+                 block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
+    """For ``sized`` (settled rows with ``doc_id``, ``source``, ``size``): a table of the sources with their shards, and one of the shards with the words ``_take`` they give."""
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
     totals = settle(totals, "mix-sources")
     aimed = targets(totals, weights, share, most).withColumn("_all", F.lit(0))
@@ -90,23 +91,51 @@ def plan_mix(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share: float
     shards = F.ceil(F.greatest(F.col("_rows") / SHARD_ROWS, F.col("source_size") / SHARD_WORDS, F.lit(1.0))).cast("long")
     side = settle(joined.select(F.struct("source").alias("_key"), "source_size", "target", "_blocks", shards.alias("_shards")), "mix-targets")
 
-    rows = sized.withColumn("_key", F.struct("source")).join(guarded(side), "_key", "left").drop("_key")
-    rows = rows.withColumn("_shard", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("_shards")))
-    cell = ["_source", "_shard"]
-    rows = rows.withColumn("_source", F.struct("source"))
-    cells = rows.groupBy(*cell).agg(F.sum("size").alias("_words"), F.first("_blocks").alias("_blocks"))
+    cells = in_shards(sized, side, seed).groupBy(*CELL).agg(F.sum("size").alias("_words"), F.first("_blocks").alias("_blocks"))
     quotas = apportion(cells, ["_source"], "_words", "_blocks", "_quota", ["_shard"])
     # no shard gives more than ``most`` times its words
-    quotas = quotas.select(*cell, "_words", F.least(F.col("_quota") * block_words, F.floor(most * F.col("_words"))).cast("long").alias("_take"))
-    quotas = settle(quotas, "mix-quotas")
+    quotas = quotas.select(*CELL, "_words", F.least(F.col("_quota") * block_words, F.floor(most * F.col("_words"))).cast("long").alias("_take"))
+    return side, settle(quotas, "mix-quotas")
+
+
+def in_shards(rows: DataFrame, side: DataFrame, seed: int) -> DataFrame:
+    """``rows`` (``doc_id``, ``source``) with their cell and what ``side`` knows of their source."""
+    rows = rows.withColumn("_source", F.struct("source")).join(guarded(side.withColumnRenamed("_key", "_source")), "_source", "left")
+    return rows.withColumn("_shard", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("_shards")))
 
-    line = Window.partitionBy(*cell).orderBy(F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("_at", F.coalesce(F.sum("size").over(line), F.lit(0))).join(guarded(quotas), cell)
+
+def rounds_and_rest():
+    """How often a shard's line is taken as a whole, and the words taken once more from its start."""
     rounds = F.when(F.col("_words") > 0, F.floor(F.col("_take") / F.col("_words"))).otherwise(0).cast("long")
-    rest = F.col("_take") - rounds * F.col("_words")
+    return rounds, F.col("_take") - rounds * F.col("_words")
+
+
+def plan_mix(sized: DataFrame, seed: int = 17, **options) -> DataFrame:
+    """``sized`` (settled rows with ``doc_id``, ``source``, ``size``) with ``source_size``, ``target`` and ``taken``."""
+    side, quotas = shard_quotas(sized, seed=seed, **options)
+    line = Window.partitionBy(*CELL).orderBy(F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    placed = in_shards(sized, side, seed).withColumn("_at", F.coalesce(F.sum("size").over(line), F.lit(0))).join(guarded(quotas), CELL)
+    rounds, rest = rounds_and_rest()
     part = F.least(F.col("size"), F.greatest(rest - F.col("_at"), F.lit(0)))
     return placed.withColumn("taken", (rounds * F.col("size") + part).cast("long")).drop(
-        *cell, "_blocks", "_shards", "_words", "_take", "_at")
+        *CELL, "_blocks", "_shards", "_words", "_take", "_at")
+
+
+def line_cuts(sized: DataFrame, side: DataFrame, quotas: DataFrame, seed: int) -> DataFrame:
+    """One row per shard: its ``_rounds`` and ``_rest``, and the place on its line (``_cut``) where the rest ends.
+
+    Rows of one place (same ``doc_id`` and ``size``) are counted together: ``_from`` is where they start, ``_same`` their number.
+    """
+    hashed = in_shards(sized, side, seed).withColumn("_hash", F.xxhash64("doc_id", F.lit(seed + 1)))
+    places = hashed.groupBy(*CELL, "_hash", "doc_id", "size").agg(F.count(F.lit(1)).alias("_same"))
+    line = Window.partitionBy(*CELL).orderBy("_hash", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    rounds, rest = rounds_and_rest()
+    placed = places.withColumn("_from", F.coalesce(F.sum(F.col("size") * F.col("_same")).over(line), F.lit(0))).join(guarded(quotas), CELL)
+    placed = placed.select(*CELL, rounds.alias("_rounds"), rest.alias("_rest"), F.struct(F.col("_hash").alias("h"), F.col("doc_id").alias("d"), F.col("size").alias("s")).alias("_place"),
+                           "_from", "_same", (F.col("_from") + F.col("size") * F.col("_same")).alias("_to"))
+    first = F.min(F.when(F.col("_to") > F.col("_rest"), F.struct("_place", "_from", "_same")))
+    cuts = placed.groupBy(*CELL, "_rounds", "_rest").agg(first.alias("_first"))
+    return settle(cuts.select(*CELL, "_rounds", "_rest", F.col("_first._place").alias("_cut"), F.col("_first._from").alias("_from"), F.col("_first._same").alias("_same")), "mix-cuts")
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -115,15 +144,27 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     return plan_mix(sized, **options)
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
     """The mix as documents with the columns of ``docs``: whole copies, and the words up to the last block's end of the document it ends in.
 
-    A document that is not taken is left out. ``n_chars`` is that of the text given.
+    A document that is not taken is left out. ``n_chars`` is that of the text given. Only ids and sizes are written and shuffled: a document
+    finds what is taken of it by its place against the cut of its shard's line, one row per shard.
     """
+    sized = settle(docs.select("doc_id", "source", size_of().alias("size")), "mix-sizes")
+    side, quotas = shard_quotas(sized, seed=seed, **options)
+    cuts = line_cuts(sized, side, quotas, seed)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    numbered = settle(docs.select(row, F.monotonically_increasing_id().alias("_rid"), size_of().alias("_size")), "mix-documents")
-    taken = plan_mix(numbered.select("_rid", "_row.doc_id", "_row.source", F.col("_size").alias("size")), **options)
-    rows = numbered.join(taken.select("_rid", "taken").where("taken > 0"), "_rid")
+    rows = in_shards(docs.select(row, "doc_id", "source", size_of().alias("_size")), side.select("_key", "_shards"), seed).join(guarded(cuts), CELL)
+    place = F.struct(F.xxhash64("doc_id", F.lit(seed + 1)).alias("h"), F.col("doc_id").alias("d"), F.col("_size").alias("s"))
+    rows = rows.withColumn("_order", F.when(place < F.col("_cut"), -1).when(place == F.col("_cut"), 0).otherwise(1)).withColumn("_before", F.lit(0).cast("long"))
+    if not cuts.where("_same > 1").isEmpty():
+        # rows of one place that a cut goes through are told apart by their texts
+        same = Window.partitionBy(*CELL).orderBy(F.xxhash64("_row.text"))
+        at_cut = (F.col("_order") == 0) & (F.col("_same") > 1)
+        rows = rows.where(~at_cut).unionByName(rows.where(at_cut).withColumn("_before", (F.row_number().over(same) - 1).cast("long")))
+    left = F.col("_rest") - F.col("_from") - F.col("_before") * F.col("_size")
+    part = F.when(F.col("_order") < 0, F.col("_size")).when(F.col("_order") == 0, F.least(F.col("_size"), F.greatest(left, F.lit(0)))).otherwise(0)
+    rows = rows.where("_size > 0").withColumn("taken", (F.col("_rounds") * F.col("_size") + part).cast("long")).where("taken > 0")
     copies = F.floor(F.col("taken") / F.col("_size"))
     rest = F.col("taken") % F.col("_size")
     rows = rows.withColumn("_part", F.explode(F.sequence(F.lit(1).cast("long"), copies + F.when(rest > 0, 1).otherwise(0))))

@@ -400,3 +400,25 @@ def test_tree_matching_counts_the_largest_mapping():
 @pytest.mark.parametrize("html", ["<", "<<p>a</", "</p></p>", "<p class='x", "&#x110000;&bogus;", "<script>never closed", "<p" * 3000])
 def test_broken_pages_do_not_crash(html):
     assert isinstance(wrappers.main_text(html, None), str)
+
+
+def test_mixed_documents_write_ids_and_sizes_only(spark):
+    from pathlib import Path
+    from docloom.session import shared_folder
+    written = lambda: {p: p.stat().st_size for p in Path(shared_folder(spark)).rglob("mix-*/*.parquet")}
+    draw = random.Random(4)
+    rows = [(i, " ".join(f"{draw.getrandbits(60):x}" for _ in range(200)), f"s{i % 2}") for i in range(300)]
+    # 40 rows of one id and size, which a cut can go through
+    rows += [(-1, " ".join(f"{draw.getrandbits(60):x}" for _ in range(50)), "twins") for _ in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    before = written()
+    got = mix.mixed_documents(docs).collect()
+    new = sum(size for p, size in written().items() if p not in before)
+    assert new < sum(len(r[1]) for r in rows) / 10
+    per, want = Counter(), Counter()
+    for r in got:
+        per[r["source"]] += len(words(r["text"]))
+    for r in mix.mix(docs).collect():
+        want[r["source"]] += r["taken"]
+    assert per == want
+    assert max(Counter(r["text"] for r in got).values()) <= 2
