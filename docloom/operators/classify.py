@@ -180,7 +180,7 @@ def predict(model, df: DataFrame, width: int | None = None, features: str = "fea
 
 def soft_vote(scores: DataFrame, weights: dict[str, float], classes: Sequence, id: str = "doc_id",
               model: str = "model", probability: str = "probability") -> DataFrame:
-    """Weighted mean of the models' probabilities per document, and its first maximum.
+    """Weighted mean of the models' probabilities per document, and its first maximum; means that agree to nine digits are equal.
 
     ``scores(id, model, probability array)``: rows of a document meet by id, not by position.
     """
@@ -188,8 +188,10 @@ def soft_vote(scores: DataFrame, weights: dict[str, float], classes: Sequence, i
     summed = scores.where(F.col(model).isin(list(weights))).groupBy(id).agg(
         *[(F.sum(weight * F.get(F.col(probability), i)) / F.sum(weight)).alias(f"p{i}") for i in range(len(classes))])
     p = F.array(*[F.col(f"p{i}") for i in range(len(classes))])
-    return summed.select(id, p.alias("probability")).select(
-        id, "probability", predicted_class(F.col("probability"), classes).alias("prediction"),
+    # equal means differ in their last bits
+    steps = F.transform("probability", lambda x: F.round(x * 1e9))
+    return summed.select(id, p.alias("probability")).withColumn("_steps", steps).select(
+        id, "probability", predicted_class(F.col("_steps"), classes).alias("prediction"),
         F.array_max("probability").alias("confidence"))
 
 

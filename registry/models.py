@@ -195,7 +195,7 @@ u AS (SELECT doc_id, CASE model WHEN 'five' THEN CAST(1.5 AS DOUBLE) ELSE 1.0 EN
 m AS (SELECT doc_id, i, sum(w * x) / sum(w) AS x FROM u GROUP BY doc_id, i)
 SELECT doc_id, ([{in_list(CLASSES)}])[arg_max(i, round(x, 9) - i * 1e-12)] AS prediction, {r('max(x)')} AS confidence FROM m GROUP BY doc_id""")
 def _(spark, sf):
-    p = all_preds(spark, sf).where("stage = 'tuned'").withColumn("probability", F.transform("probability", lambda x: F.round(x, 12)))
+    p = all_preds(spark, sf).where("stage = 'tuned'")
     return tidy(c.soft_vote(p, {"five": 1.5, "one": 1.0}, CLASSES).select("doc_id", "prediction", "confidence"))
 
 

@@ -184,3 +184,11 @@ def test_registered_logistic_regression_has_the_reference_iterations(spark, sf,
     monkeypatch.setattr(registered.c, "logistic_regression", lambda *a, **k: asked.append(k["max_iter"]) or fit(*a, **k))
     QUERIES[name](spark, sf).collect()
     assert asked == [1000]
+
+
+def test_soft_vote_gives_equal_means_to_the_first_class(spark):
+    # mean of b: (1.5 a / n + 0.1) / 2.5, of c: (0.15 + 1.5 a / n - 0.05) / 2.5
+    rows = [(n * 100 + a, m, [0.0, x, y, 0.0]) for n in range(3, 40) for a in range(1, n // 3 + 1)
+            for m, x, y in (("one", a / n, 0.1), ("two", 0.1, 1.5 * a / n - 0.05))]
+    votes = c.soft_vote(spark.createDataFrame(rows, "doc_id long, model string, probability array<double>"), {"one": 1.5, "two": 1.0}, ["a", "b", "c", "d"])
+    assert [r[0] for r in votes.select("prediction").distinct().collect()] == ["b"]
