@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.functions.scale import hash_rank, hot_join, join_side, running_totals, top_rows
+from docloom.functions.scale import frequent_join, hash_rank, hot_join, join_side, running_totals, top_rows, write_side
 from docloom.functions.text import plain_word_tokens, word_tokens
 from docloom.operators import evaluate as e, features as f, profile as p, splits as s, vocabulary as v
 
@@ -257,3 +257,24 @@ def test_t_quantiles_for_any_number_of_folds(spark):
     folds = spark.range(12).select(F.col("id").alias("fold"), (F.col("id") / 10).alias("f1"))
     row = e.cross_validation_t_interval(folds).first()
     assert row["ci_low"] < row["mean"] < row["ci_high"]
+
+
+def test_frequent_join_leaves_rows_of_frequent_keys_where_they_are(spark):
+    keys = [f"k{i}" for i in range(40) for _ in range(400 // (i + 1))]
+    rows = write_side(spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id long, key string").repartition(6))
+    side = write_side(rows.groupBy("key").agg(F.count("*").alias("n"), F.max("id").alias("top")).where("key <> 'k3'"))
+    want = Counter(map(tuple, rows.join(side, "key").select("id", "key", "n", "top").collect()))
+    for most in (0, 1, 5, 1000):
+        got = frequent_join(rows, side, "key", "n", most).select("id", "key", "n", "top")
+        assert Counter(map(tuple, got.collect())) == want
+    near = frequent_join(rows.withColumn("at", F.spark_partition_id()), side, "key", "n", 5).withColumn("now", F.spark_partition_id())
+    assert near.where("key IN ('k0', 'k1', 'k2', 'k4', 'k5') AND at <> now").isEmpty()
+
+
+def test_embeddings_beyond_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(f, "SIDE_BYTES", 0)
+    monkeypatch.setattr(f, "FREQUENT_VALUES", 4)
+    docs = spark.createDataFrame([(1, "aa aa bb cc"), (2, "bb dd"), (3, "zz"), (4, None)], "doc_id long, text string")
+    vectors = spark.createDataFrame([("aa", [1.0, 2.0]), ("bb", [3.0, 0.0]), ("cc", [5.0, 4.0]), ("dd", [0.0, 1.0])], "word string, vector array<float>")
+    out = f.document_embeddings(docs, word_tokens(F.col("text")), vectors)
+    assert {r["doc_id"]: r["embedding"] for r in out.collect()} == {1: [2.5, 2.0], 2: [1.5, 0.5], 3: [0.0, 0.0], 4: [0.0, 0.0]}
