@@ -13,7 +13,7 @@ from pyspark.ml.feature import VectorSizeHint
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docloom.functions.scale import hot_join, join_side, settle
+from docloom.functions.scale import FREQUENT_VALUES, frequent_join, join_side, settle, write_side
 from docloom.functions.text import let
 from docloom.operators.evaluate import weighted_metrics
 
@@ -73,10 +73,12 @@ def naive_bayes_fit(pairs: DataFrame, docs: DataFrame, alpha: float = 1.0, fit_p
 
 def naive_bayes_score(model: NaiveBayesTable, pairs: DataFrame, docs: DataFrame, id: str = "doc_id") -> DataFrame:
     """``(id, prediction, probability, confidence)``, one row per distinct id of ``docs``; unknown terms are ignored.
+    ``pairs`` is read more than once, so it should be a written table.
 
     Every document starts with a 0 per class, so its sums come as an array in class order, and all else is linear in the classes.
     """
-    hits = hot_join(pairs.select(id, "term", "tf"), model.terms, "term", "cf")
+    most = FREQUENT_VALUES // (4 * max(8, len(model.classes)))
+    hits = frequent_join(pairs.select(id, "term", "tf"), write_side(model.terms), "term", "cf", most)
     # class -1 counts the known words of a document
     gains = hits.select(id, "tf", F.explode(F.concat(F.array(F.struct(F.lit(-1).alias("class"), F.lit(1.0).alias("gain"))), "gains")).alias("g"))
     zeros = docs.select(id, F.explode(F.sequence(F.lit(-1), F.lit(len(model.classes) - 1))).alias("class"), F.lit(0.0).alias("s"))

@@ -76,7 +76,7 @@ SELECT doc_id, arg_max(lang, score) AS prediction, {r('1 / sum(exp(score - m))',
 @query("m01_naive_bayes", f"WITH {NB}")
 def _(spark, sf):
     d = docs(spark, sf).select("doc_id", "lang", "text")
-    pairs = f.term_counts(d, word_tokens(F.col("text")), carry=["lang"])
+    pairs = write_side(f.term_counts(d, word_tokens(F.col("text")), carry=["lang"]))
     model = c.naive_bayes_fit(pairs, d, label="lang")
     return tidy(c.naive_bayes_score(model, pairs, d).select("doc_id", "prediction", "confidence"), 4)
 

@@ -192,3 +192,15 @@ def test_soft_vote_gives_equal_means_to_the_first_class(spark):
             for m, x, y in (("one", a / n, 0.1), ("two", 0.1, 1.5 * a / n - 0.05))]
     votes = c.soft_vote(spark.createDataFrame(rows, "doc_id long, model string, probability array<double>"), {"one": 1.5, "two": 1.0}, ["a", "b", "c", "d"])
     assert [r[0] for r in votes.select("prediction").distinct().collect()] == ["b"]
+
+
+def test_naive_bayes_scores_do_not_depend_on_what_is_broadcast(spark, sf, monkeypatch):
+    d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "text")
+    pairs = f.term_counts(d, word_tokens(F.col("text")), carry=["lang"])
+    model = c.naive_bayes_fit(pairs, d, label="lang")
+    found = []
+    for values in (0, 640, c.FREQUENT_VALUES):
+        monkeypatch.setattr(c, "FREQUENT_VALUES", values)
+        rows = c.naive_bayes_score(model, pairs, d).collect()
+        found.append({r["doc_id"]: (r["prediction"], round(r["confidence"], 9)) for r in rows})
+    assert found[0] == found[1] == found[2] and len(found[0]) == d.count()
