@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from math import log
 
-from pyspark.ml.classification import LogisticRegression, NaiveBayes, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorSizeHint
 from pyspark.ml.functions import vector_to_array
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from docloom.functions.scale import FREQUENT_VALUES, frequent_join, join_side, settle, write_side
 from docloom.functions.text import let
 from docloom.operators.evaluate import weighted_metrics
+from docloom.plans.forests import Forest
 
 
 # ---- class weights ------------------------------------------------------------------------
@@ -122,16 +123,14 @@ def logistic_regression(rows: int, C: float = 1.0, max_iter: int = 1000, weight:
 
 
 def random_forest(trees: int = 100, max_depth: int = 30, min_leaf: int = 1, seed: int = 42,
-                  weight: str | None = "weight", **cols) -> RandomForestClassifier:
-    """MLlib grows at most 30 levels."""
-    rf = RandomForestClassifier(numTrees=trees, maxDepth=max_depth, minInstancesPerNode=min_leaf, seed=seed, **cols)
-    return rf.setWeightCol(weight) if weight else rf
+                  weight: str | None = "weight", **cols) -> Forest:
+    """Trees on bootstrap samples that draw the root of the number of features for each node."""
+    return Forest(trees, max_depth, min_leaf, seed=seed, weight=weight, per_node=None, **cols)
 
 
-def bagging(trees: int = 100, max_samples: float = 1.0, max_depth: int = 30, seed: int = 42, **cols) -> RandomForestClassifier:
+def bagging(trees: int = 100, max_samples: float = 1.0, max_depth: int = 30, seed: int = 42, **cols) -> Forest:
     """Bagged trees that see all features, each on a sample of the rows."""
-    return RandomForestClassifier(numTrees=trees, maxDepth=max_depth, featureSubsetStrategy="all", bootstrap=True,
-                                  subsamplingRate=max_samples, seed=seed, **cols)
+    return Forest(trees, max_depth, rate=max_samples, seed=seed, **cols)
 
 
 # ---- fitting, scoring ------------------------------------------------------------------------

@@ -163,7 +163,7 @@ SAME = "SELECT vec_id AS doc_id, CAST(label AS DOUBLE) AS label, true AS same FR
 @query("io07_saved_model")
 def _(spark, sf):
     d = write_side(vectors(spark, sf))
-    model = reloaded(spark, "io07", c.random_forest(weight=None).fit(d), "RandomForestClassificationModel")
+    model = reloaded(spark, "io07", c.random_forest(weight=None).fit(d), "ForestModel")
     return tidy(model.transform(d).select("doc_id", "label", "prediction"))
 
 
