@@ -26,11 +26,15 @@ def load(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """A row group is one task at least, so a table with fewer pieces than there are cores is dealt to all of them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def docs(spark: SparkSession, sf: str) -> DataFrame:
-    """The documents. A row group is one task at least, so a table with fewer pieces than there are cores is dealt to all of them."""
-    d = load(spark, sf, "documents")
-    cores = spark.sparkContext.defaultParallelism
-    return d.repartition(cores) if d.rdd.getNumPartitions() < cores else d
+    """The documents, dealt to all cores."""
+    return dealt(load(spark, sf, "documents"))
 
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:

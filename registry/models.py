@@ -16,7 +16,7 @@ from docloom.plans.scaling import MINMAX, VectorScaler
 from docloom.plans.stages import ShiftFeatures
 from docloom.sources import metrics
 from docloom.streaming import scoring
-from registry.common import WORD_TOKENS, docs, in_list, labelled, lit, load, query, r, tidy, workspace
+from registry.common import WORD_TOKENS, dealt, docs, in_list, labelled, lit, load, query, r, tidy, workspace
 from registry.evaluation import CLASSES, all_preds, rule_sql
 
 
@@ -25,7 +25,7 @@ DIMENSIONS = [f"dim_{i}" for i in range(64)]
 
 def vectors(spark, sf):
     """The embeddings table as a training table ``(doc_id, label, features)``."""
-    emb = load(spark, sf, "embeddings")
+    emb = dealt(load(spark, sf, "embeddings"))
     vec = array_to_vector(F.col("embedding").cast("array<double>"))
     return emb.select(F.col("vec_id").alias("doc_id"), F.col("label").cast("double"), vec.alias("features"))
 

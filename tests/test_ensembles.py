@@ -149,6 +149,19 @@ def test_sigmoids_of_unseen_margins_are_better(spark):
     assert log_loss(scored, "_margins", model.sigmoids) < log_loss(scored, "_margins", seen)
 
 
+def test_machines_of_many_classes_with_little_to_go_by(spark):
+    """Ten classes that hardly differ: a machine that is not balanced calls every row one of the others, and all rows get the class with the largest offset."""
+    draw = np.random.default_rng(5)
+    y = draw.integers(0, 10, 1500)
+    x = draw.standard_normal((1500, 8)) + 0.4 * (np.arange(8) == (y % 8)[:, None])
+    df = c.with_balanced_weights(spark.createDataFrame([(i, float(k), Vectors.dense(v)) for i, (k, v) in enumerate(zip(y, x))], ["doc_id", "label", "features"]).coalesce(2)).persist()
+    machines = ensembles.fit_machines(df, 10, 1 / 1500, 20, "weight", "label", "features", 4)
+    model = ensembles.CalibratedSvm(machines, [(1.0, 0.0)] * 10)
+    rows = model.transform(df).select("label", "prediction").collect()
+    assert len({r["prediction"] for r in rows}) == 10
+    assert sum(r["label"] == r["prediction"] for r in rows) > 1.2 * np.bincount(y).max()
+
+
 def test_sigmoids_minimize_the_loss(spark):
     draw = np.random.default_rng(1)
     x = draw.standard_normal(400)
