@@ -1,11 +1,13 @@
 """Hand-computed cases for the cleaning steps."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from docloom import lexicon
 from docloom.functions import cleaning as c, text as t
-from docloom.operators import normalize as n
+from docloom.operators import features as f, normalize as n
 
 
 @pytest.fixture
@@ -184,3 +186,30 @@ def test_run_lengths(one):
 def test_ngrams(one):
     assert one(lambda x: t.ngrams(t.words(x), 2), "a b c") == ["a b", "b c"]
     assert one(lambda x: t.ngrams(t.words(x), 3), "a b") == []
+
+
+def test_guards_leave_results_as_they_are(spark):
+    """Patterns that need a digit are tried on texts with one only; digits of other scripts count where they did."""
+    assert c.needs_digit([r"\d+\s*%?\s*FVC", r"the\s*:?\s*\d+"])
+    assert not any(c.needs_digit([p]) for p in (r"a|\d+", r"(\d+)?x", r"\w+", r"x\\\\d+"))
+    rows = [(None,), ("",), ("no mark",), ("a-b/c",), ("5mg ± 3 %",), ("± only",), ("٣ mg; x",), ("FVC 65 %  FVC",), ("+ ٣ [x]y",)]
+    df = spark.createDataFrame(rows, "text string")
+    x = F.col("text")
+    p = c.protected_pattern()
+    got = df.select(x, c.protected_spans(x), c.number_list(x), c.unit_values(x, ("mg",)), c.open_measurements(x)).collect()
+    plain = df.select(x, F.regexp_extract_all(x, F.lit(p), F.lit(0)), F.concat(*[F.regexp_extract_all(x, F.lit(q), F.lit(0)) for q in (r"\d+\.\d+", r"\d+", r"\d+\s*-\s*\d+", r"\d+/\d+")])).collect()
+    assert [tuple(r)[:3] for r in got] == [tuple(r) for r in plain]
+    assert got[6][3] == {"mg": ["٣"]} and got[5][4] == " ± only" and got[0][4] is None
+    scored = [r[0] for r in df.select(c.score_list(x)).collect()]
+    assert scored[2] == [] and scored[0] is None and scored[7] != []
+    assert "rlike" in str(df.select(c.protected_spans(x))._jdf.queryExecution().analyzed()).lower()
+
+
+def test_syllables_of_words(spark):
+    texts = ["a ba ede oiu iai eae", "Été bébé über Äiöü", "x\u00a0aba\u2003ebe", "", None, "AEIOU strengths queue idea audio"]
+    got = f.readability(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    for r, text in zip(got, texts):
+        words = (text or "").split()
+        counts = [len(re.findall("[aeiou]+", w.lower())) + 1 for w in words]
+        assert r["avg_syllables_per_word"] == pytest.approx(sum(counts) / len(counts) if words else 0)
+        assert r["complex_words_ratio"] == pytest.approx(sum(k > 2 for k in counts) / len(counts) if words else 0)
