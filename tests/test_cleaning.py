@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docloom import lexicon
 from docloom.functions import cleaning as c, text as t
+from docloom.functions.text import may_have, needed_words, rewrite
 from docloom.operators import features as f, normalize as n
 
 
@@ -213,3 +214,29 @@ def test_syllables_of_words(spark):
         counts = [len(re.findall("[aeiou]+", w.lower())) + 1 for w in words]
         assert r["avg_syllables_per_word"] == pytest.approx(sum(counts) / len(counts) if words else 0)
         assert r["complex_words_ratio"] == pytest.approx(sum(k > 2 for k in counts) / len(counts) if words else 0)
+
+
+def test_texts_that_have_the_mark_are_rewritten_all_the_same(spark):
+    rows = spark.createDataFrame([(1, "a\0b 5  mg\0"), (2, "a b 5  mg"), (3, None), (4, ""), (5, "5  mg5 mg")], "id int, text string")
+    out = rows.select("id", rewrite(F.col("text"), r"\d+\s*mg", gap=F.upper, span=lambda s: F.replace(s, F.lit(" "), F.lit(""))).alias("t"))
+    assert {r["id"]: r["t"] for r in out.collect()} == {1: "A\0B 5mg\0", 2: "A B 5mg", 3: None, 4: "", 5: "5mg5mg"}
+
+
+def test_patterns_are_kept_for_texts_that_may_match(spark):
+    """The byte search in front of a pattern leaves out no text that it matches, in any case and with letters that count as ASCII ones."""
+    assert needed_words(r"\d+\s*(?:degree[s]?)?\s*(?:curve|angle)") == ["curve", "angle"]
+    assert needed_words(r"Hoehn\s*(?:and)?\s*Yahr\s*:?\d+") == ["Hoehn"]
+    assert needed_words(r"abc|\d+") == needed_words(r"(?:ab|cde)?x*\d+") == []
+    table = {"test": "assessment", "kidney": "organ", "skin": "cover"}
+    texts = ["a TEST", "a teſt", "Kidney", "sKıN", "skİn", "nothing", "contest", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    plain = rewrite(F.col("text"), c.synonym_pattern(table), span=lambda s: F.lit("X"))
+    got = rows.select("i", may_have(F.col("text"), list(table)).alias("may"), (plain != F.col("text")).alias("hit")).orderBy("i").collect()
+    assert [r["hit"] for r in got] == [True, True, True, True, True, False, False, None]
+    assert all(r["may"] for r in got if r["hit"]) and not got[5]["may"]
+
+
+def test_blanks_and_lone_characters_at_the_ends_of_spans(spark):
+    rows = spark.createDataFrame([(1, "a;b 5 mg;c"), (2, "a ; b"), (3, ";a;"), (4, "x y  z 3 - 5;")], "i int, text string")
+    got = {r["i"]: r["t"] for r in rows.select("i", c.space_characters(F.col("text")).alias("t")).collect()}
+    assert got == {1: "a ; b 5 mg ; c", 2: "a ; b", 3: " ; a ; ", 4: "x y z 3 - 5 ; "}
