@@ -124,6 +124,11 @@ def ngram_text(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), NOT_LETTERS, " "), r"\s+", " "))
 
 
+def ngram_words(text: Column) -> Column:
+    """The words of ``ngram_text``, cut in one scan."""
+    return F.filter(F.split(F.lower(text), "[^a-z]+"), lambda w: w != "")
+
+
 def word_tokens(text: Column, min_length: int = 2) -> Column:
     """Runs of word characters (letters, digits, underscore of any script), lower-cased."""
     return matches(F.lower(text), rf"{WORD}{{{min_length},}}")

@@ -7,12 +7,13 @@ combining; everything ranked afterwards is at most one row per distinct term.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from docloom import lexicon
 from docloom.functions.scale import join_side, running_totals, top_rows, write_side
-from docloom.functions.text import ngram_text, ngrams, plain_word_tokens, unnest, vocabulary_tokens
+from docloom.functions.text import ngram_text, ngram_words, plain_word_tokens, unnest, vocabulary_tokens
 from docloom.operators.features import tfidf
 
 
@@ -122,32 +123,62 @@ def clean_for_ngrams(df: DataFrame, text: str = "text", id: str = "doc_id", labe
     return df.select(id, label, ngram_text(F.col(text)).alias("text"))
 
 
-def ngram_counts(df: DataFrame, text: str = "text", label: str = "label", max_n: int = 3,
-                 stopwords: Sequence[str] = lexicon.STOPWORDS) -> DataFrame:
-    """Occurrences per label, n and n-gram; stopwords are dropped for n = 1 only."""
-    tokens = df.select(label, F.filter(F.split(ngram_text(F.col(text)), " "), lambda w: w != "").alias("t"))
+#: Classes whose counts of an n-gram stand side by side in its row; of more classes, each counts in a row of its own first.
+WIDE_CLASSES = 16
+
+
+def ngram_rows(df: DataFrame, text: str = "text", label: str = "label", max_n: int = 3,
+               stopwords: Sequence[str] = lexicon.STOPWORDS) -> DataFrame:
+    """``(label, gram)``: a row per word and size, made next to the word; stopwords are dropped for single words only."""
+    tokens = df.select(label, ngram_words(F.col(text)).alias("_words"))
+    at = tokens.select(label, "_words", F.posexplode_outer("_words").alias("_i", "_word"))
 
     def of_size(n: int) -> Column:
+        """NULL where the text ends too early."""
         if n == 1:
-            return F.filter("t", lambda w: ~w.isin(list(stopwords)))
-        return ngrams(F.col("t"), n)
+            return F.when(~F.col("_word").isin(list(stopwords)), F.col("_word"))
+        return F.concat("_word", *[c for k in range(1, n) for c in (F.lit(" "), F.get("_words", F.col("_i") + F.lit(k)))])
+
+    return unnest(at, [label], F.array(*[of_size(n) for n in range(1, max_n + 1)]), "gram")
 
-    sized = F.array(*[F.struct(F.lit(n).alias("n"), of_size(n).alias("grams")) for n in range(1, max_n + 1)])
-    grams = unnest(unnest(tokens, [label], sized, "n", "grams"), [label, "n"], F.col("grams"), "gram")
-    return grams.groupBy(label, "n", "gram").agg(F.count("*").alias("count"))
+
+def ngram_classes(df: DataFrame, text: str = "text", label: str = "label", max_n: int = 3,
+                  stopwords: Sequence[str] = lexicon.STOPWORDS) -> DataFrame:
+    """One row per n-gram: ``(n, gram, classes, cells)`` with the number of classes that have it and a ``(label, count)`` of each, zeros among them.
+
+    The n-gram alone is the key, so that one shuffle counts it for all classes; its words have no blanks, so they give ``n``.
+    """
+    rows = ngram_rows(df, text, label, max_n, stopwords)
+    labels = [r[0] for r in df.select(label).distinct().limit(WIDE_CLASSES + 1).collect()]
+    if 0 < len(labels) <= WIDE_CLASSES:
+        counts = [F.col(f"_{i}") for i in range(len(labels))]
+        counted = rows.groupBy("gram").agg(*[F.count_if(F.col(label).eqNullSafe(F.lit(x))).alias(f"_{i}") for i, x in enumerate(labels)])
+        kind = df.schema[label].dataType
+        cells = F.array(*[F.struct(F.lit(x).cast(kind).alias(label), c.alias("count")) for x, c in zip(labels, counts)])
+        classes = reduce(lambda a, b: a + b, [F.when(c > 0, 1).otherwise(0) for c in counts])
+    else:
+        counted = rows.groupBy(label, "gram").agg(F.count("*").alias("count"))
+        counted = counted.groupBy("gram").agg(F.collect_list(F.struct(label, "count")).alias("_cells"))
+        cells, classes = F.col("_cells"), F.size("_cells")
+    blanks = F.length("gram") - F.length(F.replace(F.col("gram"), F.lit(" ")))
+    return counted.select((blanks + 1).alias("n"), "gram", classes.alias("classes"), cells.alias("cells"))
+
+
+def ngram_counts(df: DataFrame, text: str = "text", label: str = "label", max_n: int = 3,
+                 stopwords: Sequence[str] = lexicon.STOPWORDS) -> DataFrame:
+    """Occurrences per label, n and n-gram; stopwords are dropped for n = 1 only."""
+    found = ngram_classes(df, text, label, max_n, stopwords).select("n", "gram", F.inline("cells"))
+    return found.where("count > 0").select(label, "n", "gram", "count")
 
 
 def top_ngrams(counts: DataFrame, label: str = "label", k: int = 10) -> DataFrame:
     return top_rows(counts, [label, "n"], [F.desc("count"), F.asc("gram")], k)
 
 
-def distinctive_ngrams(counts: DataFrame, docs: DataFrame, label: str = "label") -> DataFrame:
-    """Score count * ln(classes / classes containing the gram).
-
-    ``docs`` gives the number of classes, so the n-grams are not counted twice. The
-    classes of a gram are at most as many rows as there are classes, so the window
-    over (n, gram) never holds a large group.
-    """
-    classes = docs.select(F.count_distinct(label)).scalar()
-    containing = F.count("*").over(Window.partitionBy("n", "gram"))
-    return counts.withColumn("score", F.col("count") * F.log(classes.cast("double") / containing))
+def distinctive_ngrams(df: DataFrame, text: str = "text", label: str = "label", max_n: int = 3,
+                       stopwords: Sequence[str] = lexicon.STOPWORDS) -> DataFrame:
+    """Score count * ln(classes / classes containing the gram), both known where the gram is counted."""
+    classes = df.select(F.count_distinct(label)).scalar()
+    found = ngram_classes(df, text, label, max_n, stopwords).select("n", "gram", "classes", F.inline("cells")).where("count > 0")
+    score = F.col("count") * F.log(classes.cast("double") / F.col("classes"))
+    return found.select(label, "n", "gram", "count", score.alias("score"))

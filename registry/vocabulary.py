@@ -133,5 +133,4 @@ x AS (SELECT c.*, count * ln(CAST(k AS DOUBLE) / count(*) OVER (PARTITION BY n,
 @query("v12_distinctive_ngrams", f"""
 WITH {ngram_cte('documents', 'lang')}{DISTINCTIVE} SELECT lang, n, gram, count, {r('score')} AS score FROM x""")
 def _(spark, sf):
-    d = docs(spark, sf)
-    return tidy(v.distinctive_ngrams(v.ngram_counts(d, label="lang"), d, "lang"))
+    return tidy(v.distinctive_ngrams(docs(spark, sf), label="lang"))

@@ -1,6 +1,7 @@
 """Narrow TF-IDF, sparse class profiles, prepared sets, feature names, naive Bayes with many classes."""
 
 import math
+import re
 from collections import Counter
 
 import pytest
@@ -92,3 +93,30 @@ def test_naive_bayes_probabilities_by_hand(spark):
                  + sum(math.log((per[lab][w] + 1) / (sum(per[lab].values()) + len(terms))) for w in t.split()) for lab in "abc"]
         e = [math.exp(x - max(score)) for x in score]
         assert got[i] == pytest.approx([x / sum(e) for x in e])
+
+
+def grams_by_hand(rows, stopwords):
+    found = Counter()
+    for label, text in rows:
+        t = re.findall("[a-z]+", (text or "").lower())
+        found.update((label, 1, w) for w in t if w not in stopwords)
+        found.update((label, n, " ".join(t[i:i + n])) for n in (2, 3) for i in range(len(t) - n + 1))
+    return found
+
+
+@pytest.mark.parametrize("classes", [3, 40])
+def test_ngrams_are_counted_in_one_shuffle(spark, classes):
+    """Few classes side by side, many one after the other; NULL is a class, texts without words have no n-grams."""
+    rows = [(f"c{i % classes}", f"The cat{i % 5}-sat,\non a mat{i % 3} the end") for i in range(120)] + [(None, "on a mat"), ("c0", None), ("c1", "12 "), ("c1", "one")]
+    df = spark.createDataFrame(rows, "label string, text string").repartition(3)
+    found = grams_by_hand(rows, ["the", "on", "a"])
+    counts = v.ngram_counts(df, stopwords=["the", "on", "a"])
+    assert {(r["label"], r["n"], r["gram"]): r["count"] for r in counts.collect()} == dict(found)
+    have = Counter((n, g) for _, n, g in found)
+    scored = v.distinctive_ngrams(df, stopwords=["the", "on", "a"])
+    assert {(r["label"], r["n"], r["gram"]): (r["count"], round(r["score"], 9)) for r in scored.collect()} == \
+        {k: (c, round(c * math.log(classes / have[k[1:]]), 9)) for k, c in found.items()}
+    if classes == 3:
+        grams = v.ngram_classes(df.localCheckpoint())
+        assert str(grams._jdf.queryExecution().executedPlan()).count("Exchange hashpartitioning(gram") == 1
+    assert v.ngram_counts(df.limit(0)).count() == 0
