@@ -4,10 +4,13 @@ import math
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
+from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from docloom.functions import subwords
 from docloom.functions.text import word_tokens
 from docloom.operators import classify as c, features as f, splits as s, vocabulary as v
 from docloom.plans.stages import feature_names
@@ -120,3 +123,14 @@ def test_ngrams_are_counted_in_one_shuffle(spark, classes):
         grams = v.ngram_classes(df.localCheckpoint())
         assert str(grams._jdf.queryExecution().executedPlan()).count("Exchange hashpartitioning(gram") == 1
     assert v.ngram_counts(df.limit(0)).count() == 0
+
+
+def test_subword_vectors_equal_hashed_ngrams(spark):
+    """The buckets of HashingTF, also beyond ASCII; NULL tokens have none; each word is cut once."""
+    rows = [(1, ["the", "théâtre", "the"]), (2, []), (3, None), (4, ["a", "über", "𝔘nicode", "日本語"]), (5, [f"w{i % 7}x" for i in range(250_000)])]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    found = {r["doc_id"]: r["subwords"] for r in f.subword_vectors(df, F.col("tokens"), buckets=512).collect()}
+    pieces = [(i, [w[k:k + n] for t in tokens or [] for w in [f"<{t}>"] for n in range(3, 7) for k in range(len(w) - n + 1)]) for i, tokens in rows]
+    hashed = HashingTF(numFeatures=512, inputCol="g", outputCol="v").transform(spark.createDataFrame(pieces, "doc_id long, g array<string>"))
+    assert found == {r["doc_id"]: r["v"] for r in hashed.collect()}
+    assert subwords.word_buckets(pa.array(["a", "the", ""]), 3, 6, 512)[1].tolist() == [1, 6, 0]
