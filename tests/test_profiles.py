@@ -134,3 +134,15 @@ def test_subword_vectors_equal_hashed_ngrams(spark):
     hashed = HashingTF(numFeatures=512, inputCol="g", outputCol="v").transform(spark.createDataFrame(pieces, "doc_id long, g array<string>"))
     assert found == {r["doc_id"]: r["v"] for r in hashed.collect()}
     assert subwords.word_buckets(pa.array(["a", "the", ""]), 3, 6, 512)[1].tolist() == [1, 6, 0]
+
+
+def test_densities_cut_the_text_once(texts):
+    plan = f.densities(texts, category="X", category_terms={"X": ["word1"]})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(text") == 1
+
+
+def test_vocabulary_of_vectors_equals_the_table(texts):
+    """Documents and occurrences of a term, counted without sorting the documents' tokens."""
+    rows = texts.select("doc_id", word_tokens(F.concat("text", F.lit(" word1 word1"))).alias("tokens"))
+    counted = f.term_vocabulary(f.term_counts(rows, F.col("tokens")), F.lit(42), 2, 0.95, 9).orderBy(F.desc("cf"), "term")
+    assert [tuple(r) for r in f.fit_vocabulary(rows, "tokens", max_features=9)] == [(r["term"], r["idf"]) for r in counted.collect()]
