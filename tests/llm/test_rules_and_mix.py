@@ -397,6 +397,24 @@ def test_tree_matching_counts_the_largest_mapping():
     assert size == 5 and {(x.tag, y.tag) for x, y in pairs} == {("#root", "#root"), ("ul", "ul"), ("li", "li"), ("p", "p")}
 
 
+def test_long_lists_have_the_largest_mapping(monkeypatch):
+    # first fit takes the last section for the first and leaves out all 300 between; the table of 90,000 pairs is more than CELLS
+    a, b = wrappers.parse("<section></section>" + "<div>x</div>" * 300), wrappers.parse("<ul><li>1</ul>" + "<div><p>x</div>" * 300 + "<section><p>1</section>")
+    size, pairs = wrappers.match(a, b)
+    assert size == len(pairs) == 301 and sum(x.tag == "div" for x, _ in pairs) == 300
+
+    draw = random.Random(3)
+    inner = ["<p>x</p>", "<b>x</b>", "<p>x</p><b>x</b>", "<ul><li>x</ul>", ""]
+    for table, known in ((1 << 21, 500_000), (40, 7), (1, 0)):
+        for _ in range(15):
+            a, b = (wrappers.parse("".join(f"<{t}>{draw.choice(inner)}</{t}>" for t in draw.choices(["div", "section", "h2"], k=draw.randrange(30)))) for _ in range(2))
+            monkeypatch.setattr(wrappers, "CELLS", 40_000)
+            want = [(x.number, y.number) for x, y in wrappers.match(a, b)[1]]
+            for name, value in (("CELLS", 0), ("TABLE", table), ("KNOWN", known)):
+                monkeypatch.setattr(wrappers, name, value)
+            assert [(x.number, y.number) for x, y in wrappers.match(a, b)[1]] == want
+
+
 @pytest.mark.parametrize("html", ["<", "<<p>a</", "</p></p>", "<p class='x", "&#x110000;&bogus;", "<script>never closed", "<p" * 3000])
 def test_broken_pages_do_not_crash(html):
     assert isinstance(wrappers.main_text(html, None), str)
