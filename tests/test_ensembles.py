@@ -287,3 +287,16 @@ def test_machines_that_step_together_are_as_good_as_one_by_one(spark, clusters):
     before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
     ensembles.fit_calibrated_svm(clusters, max_iter=5, folds=2)
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before < 100
+
+
+def test_the_registered_stack_has_its_whole_sizes(monkeypatch):
+    from registry import QUERIES, models
+    made = {}
+    monkeypatch.setattr(models, "folded_rows", lambda spark, sf, k: type("Rows", (), {"count": lambda self: 9})())
+    monkeypatch.setattr(models, "verdicts", lambda model, df: model)
+    monkeypatch.setattr(models.c, "random_forest", lambda trees=100, **options: type("Forest", (), {"fit": lambda self, t: made.update(forest=trees)})())
+    monkeypatch.setattr(ensembles, "fit_bagged_trees", lambda t, n, trees, *sizes, **options: made.update(bagging=trees))
+    monkeypatch.setattr(ensembles, "fit_calibrated_svm", lambda t, C, max_iter, **options: made.update(svm=max_iter))
+    monkeypatch.setattr(ensembles, "fit_stack", lambda train, fits, final: [fit(train) for fit in fits.values()])
+    QUERIES["m16_stacking"](None, "")
+    assert made == {"bagging": 50, "forest": 100, "svm": 100}
