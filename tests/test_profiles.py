@@ -1,16 +1,18 @@
 """Narrow TF-IDF, sparse class profiles, prepared sets, feature names, naive Bayes with many classes."""
 
 import math
+import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from docloom.functions import subwords
+from docloom.functions import skipgrams, subwords
 from docloom.functions.text import word_tokens
 from docloom.operators import classify as c, features as f, splits as s, vocabulary as v
 from docloom.plans.stages import feature_names
@@ -146,3 +148,41 @@ def test_vocabulary_of_vectors_equals_the_table(texts):
     rows = texts.select("doc_id", word_tokens(F.concat("text", F.lit(" word1 word1"))).alias("tokens"))
     counted = f.term_vocabulary(f.term_counts(rows, F.col("tokens")), F.lit(42), 2, 0.95, 9).orderBy(F.desc("cf"), "term")
     assert [tuple(r) for r in f.fit_vocabulary(rows, "tokens", max_features=9)] == [(r["term"], r["idf"]) for r in counted.collect()]
+
+
+def test_huffman_runs_are_a_shortest_code():
+    draw = random.Random(5)
+    for _ in range(60):
+        counts = sorted(draw.choice([2, 2, 2, 3, 5, 8, 13, 40]) for _ in range(draw.randrange(1, 60)))
+        nodes, codes = skipgrams.paths(skipgrams.huffman(Counter(counts).items()), np.arange(len(counts)))
+        lengths, heap, cost = (nodes >= 0).sum(1), list(counts), 0
+        while len(heap) > 1:
+            heap.sort()
+            cost, heap = cost + heap[0] + heap[1], [heap[0] + heap[1], *heap[2:]]
+        assert (lengths * np.array(counts)).sum() == cost and len(np.unique(nodes[nodes >= 0])) == len(counts) - 1
+        assert len({tuple(zip(n[:k], c[:k])) for n, c, k in zip(nodes.tolist(), codes.tolist(), lengths)}) == len(counts)
+
+
+def test_word_vectors_without_the_vocabulary_on_the_driver(spark, monkeypatch):
+    draw = random.Random(2)
+    kinds = [[f"{k}{i}" for i in range(12)] for k in "ab"]
+    rows = [(i, draw.choices(kinds[i % 2], k=30) + (["rare"] if i == 0 else [])) for i in range(1200)]
+    rows += [(1, None), (1, []), (2, ["b1"] * 7)]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>").repartition(3)
+    known = {w for k in kinds for w in k}
+    monkeypatch.setattr(f, "Word2Vec", None)
+    monkeypatch.setattr(f, "words_on_driver", lambda spark, size: 0)
+    model = f.train_word_vectors(df, size=20, partitions=3, stepSize=0.2)
+    found = {r["word"]: r["vector"].toArray() for r in model.getVectors().collect()}
+    assert set(found) == known and all(len(v) == 20 and np.isfinite(v).all() for v in found.values())
+    near = {w: max((x for x in found if x != w), key=lambda x: found[x] @ found[w] / np.linalg.norm(found[x])) for w in found}
+    assert all(w[0] == x[0] for w, x in near.items())
+
+
+def test_means_of_words_over_batches():
+    rows = [("a", 1.0), ("a", 3.0), ("b", 5.0), ("c", 1.0), ("c", 2.0), ("c", 6.0), ("d", 4.0)]
+    for size in (1, 2, 3, 7):
+        batches = [pa.RecordBatch.from_pydict({"word": [w for w, _ in part], "vector": [np.full(2, x, np.float32).tobytes() for _, x in part]})
+                   for part in (rows[i:i + size] for i in range(0, len(rows), size))]
+        got = [(w, v) for b in skipgrams.means(iter(batches), 2) for w, v in zip(b.column("word").to_pylist(), b.column("vector").to_pylist())]
+        assert got == [("a", [2.0, 2.0]), ("b", [5.0, 5.0]), ("c", [3.0, 3.0]), ("d", [4.0, 4.0])]
